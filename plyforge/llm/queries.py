@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plyforge.llm import packing, secrets, topk, url_filter, winnow
+from plyforge.llm import language, near_dup, packing, secrets, topk, toxicity, url_filter, winnow
+from plyforge.llm.common import remainder
 
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
@@ -35,13 +36,33 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), **tokenizer_files())
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = remainder(F.col("doc_id")) == 0
+    langs, prototypes = language.fit(docs, ~held)
+    return language.predict(docs.select("doc_id", held.alias("held_out"), "text"), langs, prototypes).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op7_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"), RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = near_dup.classify(_table(spark, sf_dir, "documents"), words=3, percent=85)
+    return rows.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = remainder(F.col("doc_id")) == 0
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels").select("doc_id", "toxic"), ~held)
+    rows = toxicity.score(docs.select("doc_id", held.alias("held_out"), "text"), model)
+    return rows.select("doc_id", "held_out", F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_topk(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 50 == 0, k=5, scale=256)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_winnowing, op2_secret_scan, op3_packing, op7_url_reputation, op10_exact_topk)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_winnowing, op2_secret_scan, op3_packing, op4_language_id, op7_url_reputation, op8_minhash_near_dup, op9_toxicity, op10_exact_topk)}
 SQL: dict[str, str] = {}
