@@ -3,11 +3,11 @@
 1. Every whole text becomes its set of hashed word shingles and a signature of ``coordinates`` minima.
    Documents with equal sets collapse to the smallest id (grouped with map-side partial minima).
 2. Two sets that reach the similarity agree in at least ``least`` coordinates (but for a chance of about one in
-   a million), so they share one of their first ``coordinates - least + 1`` coordinate-value pairs in any order that
-   all documents use. The order puts pairs that few documents post first, by a sketch of fixed
+   a million), so they share ``meet`` of their first ``coordinates - least + meet`` coordinate-value pairs in any order
+   that all documents use. The order puts pairs that few documents post first, by a sketch of fixed
    size, so pairs that a common passage brings aren't posted at all: the prefix filter.
 3. Postings meet under their coordinate-value pair. A list of up to ``cold`` documents gives its
-   pairs, whose collisions are counted and which are then confirmed on full sets. A longer list isn't expanded: its documents
+   pairs, whose collisions are counted; those with ``meet`` and then ``least`` matches are confirmed on full sets. A longer list isn't expanded: its documents
    are dealt in blocks, and each pair of blocks meets in one task with full sets, which finds the sets near the list's
    consensus first and then scans postings of shingles only for documents that aren't yet in that class (skip
    merging). Links inside a class that is already joined change nothing and aren't sought;
@@ -74,12 +74,14 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def signature(shingles: np.ndarray, coordinates: int) -> np.ndarray:
-    """uint32 minima of ``coordinates`` hash functions."""
-    out = np.empty(coordinates, dtype=np.uint32)
-    for i in range(coordinates):
-        mixed = (shingles ^ np.uint64((i + 1) * 0xD6E8FEB86659FD93 & (2**64 - 1))) * np.uint64((0x9E3779B97F4A7C15 * (2 * i + 3)) & (2**64 - 1) | 1)
-        out[i] = ((mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)).min()
-    return out
+    """uint32 minima of ``coordinates`` multiply-and-shift functions of the mixed hashes."""
+    at = np.arange(1, 2 * coordinates + 1, dtype=np.uint64)
+    draw = _mixed(at * np.uint64(0x9E3779B97F4A7C15))
+    by, plus = draw[:coordinates] | np.uint64(1), draw[coordinates:]
+    out = np.full(coordinates, 2**32 - 1, dtype=np.uint64)
+    for lo in range(0, len(shingles), 4096):
+        out = np.minimum(out, ((shingles[lo : lo + 4096] * by[:, None] + plus[:, None]) >> np.uint64(32)).min(axis=1))
+    return out.astype(np.uint32)
 
 
 def signed(docs: DataFrame, words: int, coordinates: int) -> DataFrame:
@@ -132,7 +134,7 @@ def least_matches(similarity: float, coordinates: int) -> int:
 
 
 def postings(reps: DataFrame, coordinates: int, prefix: int, sketch: np.ndarray) -> DataFrame:
-    """(cell, doc_id): each document under the ``prefix`` rarest of its coordinate-value pairs."""
+    """(cell, doc_id, place): each document under the ``prefix`` rarest of its coordinate-value pairs."""
     shared = reps.sparkSession.sparkContext.broadcast(sketch)
 
     def post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -144,17 +146,18 @@ def postings(reps: DataFrame, coordinates: int, prefix: int, sketch: np.ndarray)
             # The order: fewer documents first, then the cell itself; the same for all documents.
             first = np.lexsort((cells, df), axis=1)[:, :prefix]
             kept = np.take_along_axis(cells, first, axis=1)
-            yield pd.DataFrame({"cell": kept.ravel().astype(np.int64), "doc_id": np.repeat(batch["doc_id"].to_numpy(dtype=np.int64), kept.shape[1])})
+            yield pd.DataFrame({"cell": kept.ravel().astype(np.int64), "doc_id": np.repeat(batch["doc_id"].to_numpy(dtype=np.int64), kept.shape[1]), "place": np.tile(np.arange(kept.shape[1], dtype=np.int32), len(kept))})
 
-    return reps.select("doc_id", "signature").mapInPandas(post, "cell long, doc_id long")
+    return reps.select("doc_id", "signature").mapInPandas(post, "cell long, doc_id long, place int")
 
 
-def collisions(posted: DataFrame, cold: int) -> DataFrame:
+def collisions(posted: DataFrame, cold: int, first: int) -> DataFrame:
     """(cell, a, b): the pairs of lists of up to ``cold`` documents, with cell null; of longer
-    lists their members as a, with b null. Lists stream past; only ``cold`` documents are held."""
+    lists their members as a, with b null, that post there among their ``first`` pairs. Lists stream
+    past; only ``cold`` documents are held."""
 
     def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cell, held, long = None, [], False
+        cell, held, places, long = None, [], [], False
 
         def pairs(out: list) -> None:
             if not long and len(held) > 1:
@@ -162,16 +165,18 @@ def collisions(posted: DataFrame, cold: int) -> DataFrame:
 
         for batch in batches:
             out: list = []
-            for c, doc in zip(batch["cell"].tolist(), batch["doc_id"].tolist(), strict=True):
+            for c, doc, place in zip(batch["cell"].tolist(), batch["doc_id"].tolist(), batch["place"].tolist(), strict=True):
                 if c != cell:
                     pairs(out)
-                    cell, held, long = c, [], False
+                    cell, held, places, long = c, [], [], False
                 if long:
-                    out.append((c, doc, None))
+                    if place < first:
+                        out.append((c, doc, None))
                 else:
                     held.append(doc)
+                    places.append(place)
                     if len(held) > cold:
-                        out.extend((c, d, None) for d in held)
+                        out.extend((c, d, None) for d, p in zip(held, places, strict=True) if p < first)
                         held, long = [], True
             yield pd.DataFrame(out, columns=["cell", "a", "b"]).astype("Int64")
         out = []
@@ -181,6 +186,20 @@ def collisions(posted: DataFrame, cold: int) -> DataFrame:
     return posted.repartition("cell").sortWithinPartitions("cell", "doc_id").mapInPandas(meet, "cell long, a long, b long")
 
 
+def matching(pairs: DataFrame, reps: DataFrame, coordinates: int, least: int) -> DataFrame:
+    """The pairs whose whole signatures agree in ``least`` coordinates or more."""
+
+    def agree(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                same = (_matrix(batch["sa"], coordinates) == _matrix(batch["sb"], coordinates)).sum(axis=1)
+                yield batch.loc[same >= least, ["a", "b"]]
+
+    left = reps.select(F.col("doc_id").alias("a"), F.col("signature").alias("sa"))
+    right = reps.select(F.col("doc_id").alias("b"), F.col("signature").alias("sb"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInPandas(agree, "a long, b long")
+
+
 def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     """(doc_id, shingles) of the documents in ``ids``. A bitmap of fixed size spares the others the
     shuffle; the join after it is exact."""
@@ -306,16 +325,18 @@ def hot_links(members: DataFrame, sets: DataFrame, percent: int, block: int) ->
     return rows.groupBy("cell", "lo", "hi").applyInPandas(link, "a long, b long")
 
 
-def classify(docs: DataFrame, words: int = 5, percent: int = 80, coordinates: int = 32, cold: int = 24, block: int = 1024) -> DataFrame:
+def classify(docs: DataFrame, words: int = 5, percent: int = 80, coordinates: int = 32, cold: int = 24, block: int = 1024, meet: int = 3) -> DataFrame:
     """doc_id, n_shingles, component_id: a row per row of ``docs``."""
     signs = written(signed(docs, words, coordinates), "signatures")
     known = signs.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     reps = written(known.groupBy("d1", "d2").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("signature").alias("signature")), "representatives")
     least = least_matches(percent / 100, coordinates)
-    posted = postings(reps, coordinates, coordinates - least + 1, sketch_of(reps, coordinates))
-    met = written(collisions(posted, cold), "collisions")
-    pairs = met.filter("b IS NOT NULL").groupBy("a", "b").agg(F.count("*").alias("shared")).select("a", "b")
-    pairs = written(pairs, "pairs")
+    # Pairs that agree in ``least`` coordinates share ``meet`` of their first coordinates - least + meet.
+    first = coordinates - least + 1
+    posted = postings(reps, coordinates, min(coordinates, first + meet - 1), sketch_of(reps, coordinates))
+    met = written(collisions(posted, cold, first), "collisions")
+    pairs = met.filter("b IS NOT NULL").groupBy("a", "b").agg(F.count("*").alias("shared")).filter(F.col("shared") >= min(meet, least)).select("a", "b")
+    pairs = written(matching(pairs, reps, coordinates, least).distinct(), "pairs")
     members = written(met.filter("b IS NULL").select("cell", F.col("a").alias("doc_id")), "members")
     ids = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).union(members.select("doc_id")).distinct(), "ids")
     sets = written(sets_of(docs, ids, words), "sets")
