@@ -91,8 +91,9 @@ class Encoder:
         return total / size if size else total
 
 
-def fit(docs: DataFrame, training: Column, per_language: int = 2000, dim: int = 1024, seed: int = 5) -> tuple[list[str], np.ndarray]:
-    """(languages, prototypes) from the rows that ``training`` marks and whose lang isn't null."""
+def fit(docs: DataFrame, training: Column, per_language: int = 2000, most_languages: int = 256, dim: int = 1024, seed: int = 5) -> tuple[list[str], np.ndarray]:
+    """(languages, prototypes) of the ``most_languages`` most frequent languages, from the rows that
+    ``training`` marks and whose lang isn't null."""
 
     def bundle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode, sums = Encoder(dim, seed), {}
@@ -105,7 +106,8 @@ def fit(docs: DataFrame, training: Column, per_language: int = 2000, dim: int =
         yield pd.DataFrame(rows, columns=["lang", "at", "x"])
 
     rows = docs.filter(training & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = rows.groupBy("lang").agg(F.count("*").alias("_n"))
+    # At most ``most_languages`` rows, so they are broadcast and no text is shuffled.
+    counts = F.broadcast(rows.groupBy("lang").agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), "lang").limit(most_languages))
     draw = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1_000_000))
     rows = rows.select("doc_id", "text", "lang").join(counts, "lang").filter(draw < F.lit(1_000_000.0 * per_language) / F.col("_n"))
     small_batches(docs.sparkSession)
