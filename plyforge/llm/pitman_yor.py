@@ -5,8 +5,9 @@ training documents, such as the language); they share one parent, whose customer
 parent's base, which prices a word that opens a new table there, spells the word letter by letter in
 restaurants of letter contexts: the context of four letters has the one of three as its parent,
 that the one of two, and so on to a root over single letters; contexts with the same ending share their
-parents. So letters are learned from types, and frequent words from tokens. A text's context
-isn't given to scoring: its probability is the mixture over contexts, weighted by their training texts.
+parents. So letters are learned from types, and frequent words from tokens. Each text opens a
+restaurant of its own (discount 0) below its context's, so that it predicts its own repetitions. A text's
+context isn't given to scoring: its probability is the mixture over contexts, weighted by their training texts.
 
 Seating is sampled by Gibbs: every dish's customers in a restaurant leave and sit down again
 given all others' seats, level by level; tables are the customers of the level above. Several
@@ -309,8 +310,8 @@ def seated_words(words: DataFrame, alphabet: list[int], model: Letters, sizes: t
 
 
 def priced_words(seated: DataFrame, sizes: tuple, samples: int) -> DataFrame:
-    """(word, c, full): the count in training texts and log10 of the mean predictive probability
-    over the samples, for every context."""
+    """(word, c, full): the count in training texts and the mean predictive probability over the
+    samples, for every context."""
 
     def price(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         size = Sizes(*sizes)
@@ -320,7 +321,7 @@ def priced_words(seated: DataFrame, sizes: tuple, samples: int) -> DataFrame:
             c = np.stack(batch["c"].to_list()).astype(np.float64)
             t = np.stack(batch["t"].to_list()).astype(np.float64).reshape(*c.shape, samples)
             up, p = np.stack(batch["up"].to_list()).astype(np.float64), np.stack(batch["p"].to_list())
-            full = np.log10(np.maximum(size.context(c, t, size.parent(t.sum(axis=1), up, p)).mean(axis=2), 1e-300))
+            full = np.maximum(size.context(c, t, size.parent(t.sum(axis=1), up, p)).mean(axis=2), 1e-300)
             yield pd.DataFrame({"word": batch["word"], "c": c.sum(axis=1).astype(np.int64), "full": list(full)})
 
     return seated.mapInPandas(price, "word string, c long, full array<double>")
@@ -332,15 +333,35 @@ def _uniform(x: np.ndarray) -> np.ndarray:
     return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) / float(1 << 53)
 
 
+def rising(a: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """log10 of a (a + 1) ... (a + n - 1): the n customers of a dish with weight a in a restaurant
+    without discount. Short products as they are, the rest by Stirling's series."""
+    a, n = np.broadcast_arrays(np.asarray(a, dtype=np.float64), np.asarray(n, dtype=np.float64))
+    out = np.log10(a)
+    more = n > 1
+    if more.any():
+        x, y = a[more], a[more] + n[more]
+        out[more] = (_log_gamma(y) - _log_gamma(x)) / math.log(10)
+    return out
+
+
+def _log_gamma(x: np.ndarray) -> np.ndarray:
+    low = np.zeros_like(x)
+    for i in range(8):
+        low += np.log(x + i)
+    y = x + 8
+    return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - low
+
+
 def _discount(ones: int | None, twos: int | None) -> float:
     return min(0.95, max(0.1, ones / (ones + 2 * twos))) if ones or twos else 0.5
 
 
-def score(docs: DataFrame, held_out: Column, context: str | None = None, most_contexts: int = 15, head: int = 150_000, samples: int = 3, strength: float = 1.0) -> DataFrame:
+def score(docs: DataFrame, held_out: Column, context: str | None = None, most_contexts: int = 15, head: int = 150_000, samples: int = 3, strength: float = 1.0, own: float = 3000.0) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of ``docs``.
 
     ``context``: a column whose ``most_contexts`` most frequent values in training texts get restaurants of
-    their own; other values, and nulls, share one.
+    their own; other values, and nulls, share one. ``own``: the strength of a text's restaurant.
     """
     spark = docs.sparkSession
     value = F.col(context).cast("string") if context else F.lit(None).cast("string")
@@ -374,7 +395,7 @@ def score(docs: DataFrame, held_out: Column, context: str | None = None, most_co
     base = lambda count: F.log10((count + 0.5) / (n + 0.5 * (types + 1)))
     top = priced.orderBy(F.desc("c"), "word").limit(head).collect()
     places = {r["word"].encode("utf-8", "surrogatepass"): i for i, r in enumerate(top)}
-    table = np.array([[r["c"] > 0, math.log10((r["c"] + 0.5) / (n + 0.5 * (types + 1))), *r["full"]] for r in top], dtype=np.float64).reshape(-1, contexts + 2)
+    table = np.array([[r["c"] > 0, math.log10((r["c"] + 0.5) / (n + 0.5 * (types + 1))), *(own * x for x in r["full"])] for r in top], dtype=np.float64).reshape(-1, contexts + 2)
     shared = spark.sparkContext.broadcast((places, table))
     sums = ["known", "base", *(f"f{z}" for z in range(contexts))]
 
@@ -382,11 +403,11 @@ def score(docs: DataFrame, held_out: Column, context: str | None = None, most_co
         """A row per document for its head words, and a row per document and other word."""
         places, table = shared.value
         for batch in batches:
-            heads, prices, keys, rest, counts = [], [], [], [], []
+            heads, starts, at, many, keys, rest, counts = [], [], [], [], [], [], []
             for key, doc, held, text in zip(batch["key"], batch["doc_id"], batch["held_out"], batch["text"], strict=True):
                 found = tokens(text)
                 found.append(b"")
-                at, many = [], []
+                starts.append(len(at))
                 for w, m in Counter(found).items():
                     i = places.get(w)
                     if i is None:
@@ -396,11 +417,15 @@ def score(docs: DataFrame, held_out: Column, context: str | None = None, most_co
                     else:
                         at.append(i)
                         many.append(m)
-                prices.append(np.array(many, dtype=float) @ table[at] if at else np.zeros(table.shape[1]))
                 # No word holds a line break, so this row meets no word and has a place of its own.
                 heads.append((key, f"\n{key}", 1, doc, held, len(found)))
             out = pd.DataFrame(heads, columns=["key", "word", "n", "doc_id", "held_out", "n_tokens"])
-            out[sums] = np.array(prices).reshape(-1, len(sums))
+            m, rows_ = np.array(many, dtype=float)[:, None], table[np.array(at, dtype=np.int64)]
+            parts = np.vstack([np.hstack([m * rows_[:, :2], rising(rows_[:, 2:], m)]), np.zeros((1, len(sums)))])
+            by_doc = np.add.reduceat(parts, starts, axis=0) if starts else parts[:0]
+            by_doc[np.diff([*starts, len(at)]) == 0] = 0.0
+            by_doc[:, 2:] -= rising(np.full(len(heads), own), out["n_tokens"].to_numpy(dtype=float))[:, None]
+            out[sums] = by_doc
             yield out.astype({"doc_id": "Int64", "held_out": "boolean", "n_tokens": "Int64"})
             if keys:
                 tail = pd.DataFrame({"key": keys, "word": pd.Series([w.decode("utf-8", "replace") for w in rest], dtype=object), "n": counts})
@@ -412,8 +437,9 @@ def score(docs: DataFrame, held_out: Column, context: str | None = None, most_co
     fields = "key long, word string, n long, doc_id long, held_out boolean, n_tokens long, " + ", ".join(f"{x} double" for x in sums)
     rows = docs.select("doc_id", "held_out", "text").withColumn("key", F.monotonically_increasing_id()).mapInPandas(spread, fields)
     rows = rows.join(priced.select("word", "c", "full"), "word", "left")
-    price = {"known": (F.col("c") > 0).cast("double"), "base": base(F.col("c")), **{f"f{z}": F.col("full")[z] for z in range(contexts)}}
-    summed = [F.sum(F.col(x) + F.coalesce(F.col("n") * price[x], F.lit(0.0))).alias(x) for x in sums]
+    risen = lambda a: F.when(F.col("n") == 1, F.log10(a)).otherwise(F.aggregate(F.sequence(F.lit(0), F.col("n") - 1), F.lit(0.0), lambda x, j: x + F.log10(a + j)))
+    price = {"known": F.col("n") * (F.col("c") > 0).cast("double"), "base": F.col("n") * base(F.col("c")), **{f"f{z}": risen(own * F.col("full")[z]) for z in range(contexts)}}
+    summed = [F.sum(F.col(x) + F.coalesce(price[x], F.lit(0.0))).alias(x) for x in sums]
     out = rows.groupBy("key").agg(F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"), *summed)
     mixed = [F.col(f"f{z}") + float(weights[z]) for z in range(contexts)]
     most = F.greatest(*mixed) if contexts > 1 else mixed[0]

@@ -74,3 +74,9 @@ def test_seating_matches_restaurant_simulation():
         slow.append(t)
     assert abs(fast.mean() - np.mean(slow)) < 0.08 and fast.min() >= 1 and fast.max() <= 25
     assert py.seat(np.array([0, 1, 10**7]), np.ones(3), 0.5, lambda active, _: rng.random(len(active)))[:2].tolist() == [0, 1]
+
+
+def test_rising_products():
+    for a in (1e-9, 0.3, 7.0, 5000.0):
+        for n in (1, 2, 5, 40, 3000):
+            assert py.rising(np.array([a]), np.array([n]))[0] == pytest.approx(sum(math.log10(a + j) for j in range(n)), rel=1e-9, abs=1e-7)
