@@ -49,5 +49,7 @@ def remainder(doc_id: Column, modulus: int = 5) -> Column:
 
 
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Bounds what a Python worker holds at once where texts can be very long."""
+    """Bounds what a Python worker holds at once where texts can be very long; the models' tables
+    come to the driver as Arrow batches."""
+    spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -51,8 +51,8 @@ def tokens(text: str | None) -> list[bytes]:
 
 
 def word_counts(docs: DataFrame, contexts: int) -> DataFrame:
-    """docs: train, z, text -> (word, c): every word of all texts with its counts in the training texts of each
-    context; the end token is ''."""
+    """docs: train, z, text -> (word, c0, c1, ...): every word of all texts with its counts in the training texts
+    of each context; the end token is ''."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: list[Counter] = [Counter() for _ in range(contexts)]
@@ -78,7 +78,7 @@ def word_counts(docs: DataFrame, contexts: int) -> DataFrame:
     small_batches(docs.sparkSession)
     rows = docs.select("train", "z", "text").mapInPandas(count, "word string, z int, c long")
     each = [F.sum(F.when(F.col("z") == z, F.col("c")).otherwise(F.lit(0))).alias(f"c{z}") for z in range(contexts)]
-    return rows.groupBy("word").agg(*each).select("word", F.array(*[f"c{z}" for z in range(contexts)]).alias("c"))
+    return rows.groupBy("word").agg(*each)
 
 
 class Spelling:
@@ -232,9 +232,9 @@ def sample_letters(keys: np.ndarray, counts: np.ndarray, size: int, sweeps: int
 
 
 def fit_letters(words: DataFrame, samples: int) -> tuple[list[int], Letters]:
-    """(alphabet, model) from the types in ``words`` (word, counts c)."""
+    """(alphabet, model) from the types in ``words`` (word, counts)."""
     spark = words.sparkSession
-    types = words.filter(F.exists("c", lambda c: c > 0)).select("word")
+    types = words.filter(F.greatest(*[F.col(c) for c in words.columns[1:]], F.lit(0)) > 0).select("word")
 
     def points(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: Counter = Counter()
@@ -280,10 +280,16 @@ class Sizes:
         return np.maximum(c[:, :, None] - d * t, 0.0) / total + (self.strength + d * self.tables) / total * above[:, None, :]
 
 
+def seat_columns(contexts: int, samples: int) -> list[str]:
+    return [*(f"t{z}_{s}" for z in range(contexts) for s in range(samples)), *(f"up{s}" for s in range(samples))]
+
+
 def seated_words(words: DataFrame, alphabet: list[int], model: Letters, sizes: tuple, samples: int, seed: int = 7) -> DataFrame:
-    """(word, c, p, t, up): spelling probabilities [sample], sampled tables [context, sample] and the
-    parent's [sample]. ``sizes``: Sizes' values when every word has one table in each of its contexts."""
+    """Adds spelling probabilities p<sample>, sampled tables t<context>_<sample> and the parent's
+    up<sample>. ``sizes``: Sizes' values when every word has one table in each of its contexts."""
     shared = words.sparkSession.sparkContext.broadcast((alphabet, model.state()))
+    counts = words.columns[1:]
+    tables = seat_columns(len(counts), samples)
 
     def sit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         alphabet, model = shared.value[0], Letters.of(shared.value[1])
@@ -291,10 +297,10 @@ def seated_words(words: DataFrame, alphabet: list[int], model: Letters, sizes: t
         for batch in batches:
             if not len(batch):
                 continue
-            listed, c = batch["word"].tolist(), np.stack(batch["c"].to_list()).astype(np.float64)
+            listed, c = batch["word"].tolist(), batch[counts].to_numpy(dtype=np.float64)
             p = model.words(spelling, listed)
             # Random numbers come from the word, so a task that runs again seats alike.
-            roots = np.array([xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), seed) for w in listed], dtype=np.uint64)
+            roots = np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), seed) for w in listed), dtype=np.uint64, count=len(listed))
             first = np.minimum(c, 1.0).sum(axis=1)[:, None]
             above = size.parent(first, np.minimum(first, 1.0), p)
             t, up = np.zeros((*c.shape, samples)), np.zeros((len(c), samples))
@@ -304,27 +310,46 @@ def seated_words(words: DataFrame, alphabet: list[int], model: Letters, sizes: t
                     t[:, z, s] = seat(c[:, z], (size.strength + size.d[1] * size.tables[z, 0]) * above[:, s], size.d[1], draw)
                 draw = lambda active, step, s=s: _uniform(roots[active] + np.uint64(step * 4096 + 4095 - s))
                 up[:, s] = seat(t[:, :, s].sum(axis=1), (size.strength + size.d[0] * size.parents) * p[:, s], size.d[0], draw)
-            yield pd.DataFrame({"word": batch["word"], "c": batch["c"], "p": list(p), "t": list(t.reshape(len(c), -1).astype(np.int64)), "up": list(up.astype(np.int64))})
+            spelled = pd.DataFrame(p, columns=[f"p{s}" for s in range(samples)])
+            seats = pd.DataFrame(np.hstack([t.reshape(len(c), -1), up]).astype(np.int64), columns=tables)
+            yield pd.concat([batch.reset_index(drop=True), spelled, seats], axis=1)
 
-    return words.mapInPandas(sit, "word string, c array<long>, p array<double>, t array<long>, up array<long>")
+    fields = ["word string", *(f"{c} long" for c in counts), *(f"p{s} double" for s in range(samples)), *(f"{t} long" for t in tables)]
+    return words.mapInPandas(sit, ", ".join(fields))
 
 
-def priced_words(seated: DataFrame, sizes: tuple, samples: int) -> DataFrame:
-    """(word, c, full): the count in training texts and the mean predictive probability over the
-    samples, for every context."""
+def priced_words(seated: DataFrame, sizes: tuple, contexts: int, samples: int) -> DataFrame:
+    """(word, c, f<context>): the count in training texts and the mean predictive probability over
+    the samples."""
+    counts, tables = [f"c{z}" for z in range(contexts)], seat_columns(contexts, samples)
 
     def price(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         size = Sizes(*sizes)
         for batch in batches:
             if not len(batch):
                 continue
-            c = np.stack(batch["c"].to_list()).astype(np.float64)
-            t = np.stack(batch["t"].to_list()).astype(np.float64).reshape(*c.shape, samples)
-            up, p = np.stack(batch["up"].to_list()).astype(np.float64), np.stack(batch["p"].to_list())
+            c, seats = batch[counts].to_numpy(dtype=np.float64), batch[tables].to_numpy(dtype=np.float64)
+            t, up = seats[:, : contexts * samples].reshape(*c.shape, samples), seats[:, contexts * samples :]
+            p = batch[[f"p{s}" for s in range(samples)]].to_numpy(dtype=np.float64)
             full = np.maximum(size.context(c, t, size.parent(t.sum(axis=1), up, p)).mean(axis=2), 1e-300)
-            yield pd.DataFrame({"word": batch["word"], "c": c.sum(axis=1).astype(np.int64), "full": list(full)})
+            out = pd.DataFrame(full, columns=[f"f{z}" for z in range(contexts)])
+            out.insert(0, "word", batch["word"].to_numpy())
+            out.insert(1, "c", c.sum(axis=1).astype(np.int64))
+            yield out
+
+    return seated.mapInPandas(price, "word string, c long, " + ", ".join(f"f{z} double" for z in range(contexts)))
+
 
-    return seated.mapInPandas(price, "word string, c long, full array<double>")
+def most_frequent(priced: DataFrame, most: int) -> pd.DataFrame:
+    """At most ``most`` rows: those whose counts reach a level that a histogram of fixed size finds."""
+    level = F.floor(F.log2("c") * 64).cast("int")
+    found, at = 0, None
+    for r in sorted(priced.filter("c > 0").groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect(), key=lambda r: -r["level"]):
+        found += r["n"]
+        if found > most:
+            break
+        at = r["level"]
+    return priced.filter((F.col("c") > 0) & (level >= at) if at is not None else F.lit(False)).toPandas()
 
 
 def _uniform(x: np.ndarray) -> np.ndarray:
@@ -357,7 +382,7 @@ def _discount(ones: int | None, twos: int | None) -> float:
     return min(0.95, max(0.1, ones / (ones + 2 * twos))) if ones or twos else 0.5
 
 
-def score(docs: DataFrame, held_out: Column, context: str | None = None, most_contexts: int = 15, head: int = 150_000, samples: int = 3, strength: float = 1.0, own: float = 3000.0) -> DataFrame:
+def score(docs: DataFrame, held_out: Column, context: str | None = None, most_contexts: int = 15, head: int = 60_000, samples: int = 3, strength: float = 1.0, own: float = 3000.0) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of ``docs``.
 
     ``context``: a column whose ``most_contexts`` most frequent values in training texts get restaurants of
@@ -378,7 +403,7 @@ def score(docs: DataFrame, held_out: Column, context: str | None = None, most_co
     weights = np.log10(weights / weights.sum())
 
     words = written(word_counts(docs, contexts), "words")
-    c = [F.col("c")[z] for z in range(contexts)]
+    c = [F.col(f"c{z}") for z in range(contexts)]
     number = lambda x: F.coalesce(F.sum(x), F.lit(0)).cast("long")
     is_ = lambda x, n: (x == n).cast("int")
     total, rooms = sum(c[1:], c[0]), sum((is_(x > 0, True) for x in c[1:]), is_(c[0] > 0, True))
@@ -387,15 +412,16 @@ def score(docs: DataFrame, held_out: Column, context: str | None = None, most_co
     n, d = sum(tokens_), (_discount(p1, p2), _discount(k1, k2))
     alphabet, model = fit_letters(words, samples)
     seated = written(seated_words(words, alphabet, model, (tokens_, [[x] for x in tables], customers, types, d, strength), samples), "seated")
-    sat = seated.agg(*[number(F.col("t")[i]) for i in range(contexts * samples)], *[number(F.col("up")[s]) for s in range(samples)]).first()
+    sat = seated.agg(*[number(F.col(x)) for x in seat_columns(contexts, samples)]).first()
     t = np.array(sat[: contexts * samples], dtype=float).reshape(contexts, samples)
     sizes = (tokens_, t.tolist(), t.sum(axis=0).tolist(), list(sat[contexts * samples :]), d, strength)
-    priced = written(priced_words(seated, sizes, samples), "priced")
+    priced = written(priced_words(seated, sizes, contexts, samples), "priced")
 
     base = lambda count: F.log10((count + 0.5) / (n + 0.5 * (types + 1)))
-    top = priced.orderBy(F.desc("c"), "word").limit(head).collect()
-    places = {r["word"].encode("utf-8", "surrogatepass"): i for i, r in enumerate(top)}
-    table = np.array([[r["c"] > 0, math.log10((r["c"] + 0.5) / (n + 0.5 * (types + 1))), *(own * x for x in r["full"])] for r in top], dtype=np.float64).reshape(-1, contexts + 2)
+    top = most_frequent(priced, head)
+    places = {w.encode("utf-8", "surrogatepass"): i for i, w in enumerate(top["word"])}
+    seen = top["c"].to_numpy(dtype=float)
+    table = np.column_stack([seen > 0, np.log10((seen + 0.5) / (n + 0.5 * (types + 1))), own * top[[f"f{z}" for z in range(contexts)]].to_numpy(dtype=float)])
     shared = spark.sparkContext.broadcast((places, table))
     sums = ["known", "base", *(f"f{z}" for z in range(contexts))]
 
@@ -418,29 +444,26 @@ def score(docs: DataFrame, held_out: Column, context: str | None = None, most_co
                         at.append(i)
                         many.append(m)
                 # No word holds a line break, so this row meets no word and has a place of its own.
-                heads.append((key, f"\n{key}", 1, doc, held, len(found)))
-            out = pd.DataFrame(heads, columns=["key", "word", "n", "doc_id", "held_out", "n_tokens"])
+                heads.append((key, f"\n{key}", 1, [None if pd.isna(doc) else int(doc), int(held), len(found)]))
+            out = pd.DataFrame(heads, columns=["key", "word", "n", "facts"])
             m, rows_ = np.array(many, dtype=float)[:, None], table[np.array(at, dtype=np.int64)]
             parts = np.vstack([np.hstack([m * rows_[:, :2], rising(rows_[:, 2:], m)]), np.zeros((1, len(sums)))])
             by_doc = np.add.reduceat(parts, starts, axis=0) if starts else parts[:0]
             by_doc[np.diff([*starts, len(at)]) == 0] = 0.0
-            by_doc[:, 2:] -= rising(np.full(len(heads), own), out["n_tokens"].to_numpy(dtype=float))[:, None]
-            out[sums] = by_doc
-            yield out.astype({"doc_id": "Int64", "held_out": "boolean", "n_tokens": "Int64"})
+            by_doc[:, 2:] -= rising(np.full(len(heads), own), np.array([f[2] for f in out["facts"]], dtype=float))[:, None]
+            yield out.assign(sums=list(by_doc))
             if keys:
-                tail = pd.DataFrame({"key": keys, "word": pd.Series([w.decode("utf-8", "replace") for w in rest], dtype=object), "n": counts})
-                tail[["doc_id", "held_out", "n_tokens"]] = None
-                tail[sums] = 0.0
-                yield tail.astype({"doc_id": "Int64", "held_out": "boolean", "n_tokens": "Int64"})
+                yield pd.DataFrame({"key": keys, "word": pd.Series([w.decode("utf-8", "replace") for w in rest], dtype=object), "n": counts, "facts": None, "sums": None})
 
     small_batches(spark)
-    fields = "key long, word string, n long, doc_id long, held_out boolean, n_tokens long, " + ", ".join(f"{x} double" for x in sums)
+    fields = "key long, word string, n long, facts array<long>, sums array<double>"
     rows = docs.select("doc_id", "held_out", "text").withColumn("key", F.monotonically_increasing_id()).mapInPandas(spread, fields)
-    rows = rows.join(priced.select("word", "c", "full"), "word", "left")
+    rows = rows.join(priced, "word", "left")
     risen = lambda a: F.when(F.col("n") == 1, F.log10(a)).otherwise(F.aggregate(F.sequence(F.lit(0), F.col("n") - 1), F.lit(0.0), lambda x, j: x + F.log10(a + j)))
-    price = {"known": F.col("n") * (F.col("c") > 0).cast("double"), "base": F.col("n") * base(F.col("c")), **{f"f{z}": risen(own * F.col("full")[z]) for z in range(contexts)}}
-    summed = [F.sum(F.col(x) + F.coalesce(price[x], F.lit(0.0))).alias(x) for x in sums]
-    out = rows.groupBy("key").agg(F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"), *summed)
+    price = {"known": F.col("n") * (F.col("c") > 0).cast("double"), "base": F.col("n") * base(F.col("c")), **{f"f{z}": risen(own * F.col(f"f{z}")) for z in range(contexts)}}
+    rows = rows.select("key", *[F.col("facts")[i].alias(x) for i, x in enumerate(("doc_id", "held_out", "n_tokens"))], *[F.coalesce(F.col("sums")[i], price[x], F.lit(0.0)).alias(x) for i, x in enumerate(sums)])
+    out = rows.groupBy("key").agg(*[F.max(x).alias(x) for x in ("doc_id", "held_out", "n_tokens")], *[F.sum(x).alias(x) for x in sums])
+    out = out.withColumn("held_out", F.col("held_out") == 1)
     mixed = [F.col(f"f{z}") + float(weights[z]) for z in range(contexts)]
     most = F.greatest(*mixed) if contexts > 1 else mixed[0]
     full = most + F.log10(sum((F.pow(F.lit(10.0), x - most) for x in mixed[1:]), F.pow(F.lit(10.0), mixed[0] - most)))
