@@ -1,6 +1,6 @@
 """Named queries over the driver's tables, each with its SQL oracle."""
 
-from __future__ import annotations
+from plyforge.plans import chess, metrics, modeling, scalars, warehouse  # noqa: F401
+from plyforge.plans.registry import QUERIES, SQL
 
-QUERIES: dict = {}
-SQL: dict = {}
+__all__ = ["QUERIES", "SQL"]
