@@ -6,31 +6,41 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, DataType, FloatType, IntegerType, StringType, StructType
 
 from plyforge.functions import board as B
 
 
-@F.pandas_udf("string")
+
+def _struct(**fields: DataType) -> StructType:
+    """Types are objects, not text, so that importing needs no session."""
+    out = StructType()
+    for name, kind in fields.items():
+        out = out.add(name, kind)
+    return out
+
+
+@F.pandas_udf(StringType())
 def normalize_fen(fens: pd.Series) -> pd.Series:
     return fens.map(lambda f: None if f is None else B.normalized_fen(f))
 
 
-@F.pandas_udf("array<float>")
+@F.pandas_udf(ArrayType(FloatType()))
 def board_tensor(fens: pd.Series) -> pd.Series:
     return fens.map(lambda f: None if f is None else B.tensor(B.Board(f)))
 
 
-@F.pandas_udf("array<int>")
+@F.pandas_udf(ArrayType(IntegerType()))
 def legal_actions(fens: pd.Series) -> pd.Series:
     return fens.map(lambda f: None if f is None else B.legal_indices(B.Board(f)))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def decode_action(fens: pd.Series, actions: pd.Series) -> pd.Series:
     return pd.Series([None if f is None or pd.isna(a) else B.uci(B.decode(int(a), B.Board(f))) for f, a in zip(fens, actions, strict=True)], dtype=object)
 
 
-@F.pandas_udf("value int, error string")
+@F.pandas_udf(_struct(value=IntegerType(), error=StringType()))
 def policy_target(fens: pd.Series, moves: pd.Series) -> pd.DataFrame:
     """The action of a played move, or why there is none: it must be legal and decode to itself."""
 
@@ -48,7 +58,7 @@ def policy_target(fens: pd.Series, moves: pd.Series) -> pd.DataFrame:
 
 
 FEATURES = list(B.move_features(B.Board(), B.parse_uci("e2e4")))
-CANDIDATE = "array<struct<action:int,uci:string," + ",".join(f"{k}:int" for k in FEATURES) + ">>"
+CANDIDATE = ArrayType(_struct(action=IntegerType(), uci=StringType(), **{k: IntegerType() for k in FEATURES}))
 
 
 @F.pandas_udf(CANDIDATE)
@@ -62,7 +72,8 @@ def candidates(fens: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield pd.Series(out, dtype=object)
 
 
-CONTEXT = "legal_moves int, in_check boolean, white_pawns int, white_doubled int, white_isolated int, white_islands int, black_pawns int, black_doubled int, black_isolated int, black_islands int"
+PAWNS = [f"{side}_{k}" for side in ("white", "black") for k in B.pawn_structure(B.Board(), True)]
+CONTEXT = _struct(legal_moves=IntegerType(), in_check=BooleanType(), **{k: IntegerType() for k in PAWNS})
 
 
 @F.pandas_udf(CONTEXT)

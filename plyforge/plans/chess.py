@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from plyforge.functions import board as B
 from plyforge.functions import chess_udf as U
@@ -13,7 +14,7 @@ from plyforge.plans.registry import query
 from plyforge.sources.tables import table
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _walk(keys: pd.Series) -> pd.Series:
     """A position reached by up to 24 legal moves that the key chooses."""
 
