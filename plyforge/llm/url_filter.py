@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plyforge.llm.common import ascii_lower
+from plyforge.llm.common import ascii_lower, written
 
 Rule = tuple[str, str, str]
 LOW_K, HIGH_K = 0.5, 1000.0
@@ -68,7 +68,8 @@ def reputation(labelled: DataFrame) -> DataFrame:
 
     Returns host, pages (labelled or not), mean (posterior block rate), weight (its beta weight).
     """
-    hosts = labelled.groupBy("host", "domain", "suffix").agg(F.count("*").alias("pages"), F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("b"))
+    # A row per host: every later level is computed from this table, not from the pages again.
+    hosts = written(labelled.groupBy("host", "domain", "suffix").agg(F.count("*").alias("pages"), F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("b")), "hosts")
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("b").alias("b"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("b").alias("b"))
     root = suffixes.agg(((F.coalesce(F.sum("b"), F.lit(0)) + 1) / (F.coalesce(F.sum("n"), F.lit(0)) + 2)).alias("root"))
@@ -83,7 +84,7 @@ def reputation(labelled: DataFrame) -> DataFrame:
     suffixes = shrunk(suffixes.crossJoin(F.broadcast(root)), "root", "root", F.lit(HIGH_K), "suffix", ["suffix"])
     domains = shrunk(domains.join(suffixes, "suffix"), "suffix_rate", "suffix_mean", F.col("suffix_weight"), "domain", ["domain"])
     hosts = shrunk(hosts.join(domains, "domain"), "domain_rate", "domain_mean", F.col("domain_weight"), "host", ["host", "pages"])
-    return hosts.select("host", "pages", F.col("host_mean").alias("mean"), F.col("host_weight").alias("weight"))
+    return written(hosts.select("host", "pages", F.col("host_mean").alias("mean"), F.col("host_weight").alias("weight")), "reputation")
 
 
 def judge(pages: DataFrame, rules: Sequence[Rule], url_col: str = "url", id_col: str = "page_id", z: float = 1.645, threshold: float = 0.5, hot: float = 0.001) -> DataFrame:
@@ -94,7 +95,7 @@ def judge(pages: DataFrame, rules: Sequence[Rule], url_col: str = "url", id_col:
     label = F.when(F.col("fit.verdict").isNotNull(), (F.col("fit.verdict") == "block").cast("int"))
     domain = F.substring_index("host", ".", -2)
     stats = reputation(parsed.select("host", domain.alias("domain"), F.substring_index("host", ".", -1).alias("suffix"), label.alias("bad")))
-    total = parsed.count()
+    total = stats.agg(F.coalesce(F.sum("pages"), F.lit(0))).first()[0]
     big = stats.filter(F.col("pages") > hot * total).select("host", F.col("mean").alias("m1"), F.col("weight").alias("w1"))
     rest = stats.filter(F.col("pages") <= hot * total).select(F.col("host").alias("key"), F.col("mean").alias("m2"), F.col("weight").alias("w2"))
     parsed = parsed.join(F.broadcast(big), "host", "left")
