@@ -4,7 +4,8 @@ A document becomes its token ids followed by one separator. Documents longer tha
 cut; the first piece takes the remainder, so all later pieces are full sequences. Pieces are dealt
 over tasks as small rows (texts never move) and each task packs its own, in a fixed order, with a
 fixed number of open bins. A bitset whose bit i says that some open bin has i free places finds
-the tightest bin that fits; with all bins open, the fullest closes first.
+the tightest bin that fits; with all bins open, the fullest closes first. The packer looks ahead a
+fixed number of pieces and places the longest of them first, so that short ones fill the gaps.
 
 Null text counts as empty (one separator). Repeated rows are packed as often as they occur. An
 empty table gives an empty result. Other columns are ignored.
@@ -109,7 +110,7 @@ def tokenized(docs: DataFrame, vocabulary: str, ranks: str, pattern: str, separa
     return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).mapInPandas(cut, PIECES)
 
 
-def packed(pieces: DataFrame, capacity: int = 2048, bins: int = 4096) -> DataFrame:
+def packed(pieces: DataFrame, capacity: int = 2048, bins: int = 8192, ahead: int = 8192) -> DataFrame:
     """Adds sequence_id and offset. Order within a task is by a hash of the id, so a task that
     runs again packs alike. Sequence ids hold the task in their upper bits."""
     keys = ("doc_id", "piece", "length", "ids_crc32")
@@ -117,15 +118,27 @@ def packed(pieces: DataFrame, capacity: int = 2048, bins: int = 4096) -> DataFra
     dealt = dealt.withColumn("task", F.spark_partition_id())
 
     def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fit = BestFit(capacity, bins)
+        fit, held, count = BestFit(capacity, bins), [], 0
+
+        def placed() -> pd.DataFrame:
+            rows = pd.concat(held, ignore_index=True).sort_values("length", ascending=False, kind="stable")
+            at = [fit.place(n) for n in rows["length"].tolist()]
+            base = int(rows["task"].iloc[0]) << 40
+            return rows.drop(columns="task").assign(sequence_id=[base + b for b, _ in at], offset=[o for _, o in at])
+
         for batch in batches:
-            at = [fit.place(n) for n in batch["length"].tolist()]
-            base = int(batch["task"].iloc[0]) << 40 if len(batch) else 0
-            yield batch.drop(columns="task").assign(sequence_id=[base + b for b, _ in at], offset=[o for _, o in at])
+            for lo in range(0, len(batch), ahead):
+                held.append(batch.iloc[lo : lo + ahead])
+                count += len(held[-1])
+                if count >= ahead:
+                    yield placed()
+                    held, count = [], 0
+        if count:
+            yield placed()
 
     return dealt.mapInPandas(fill, PACKED)
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, ranks: str, pattern: str, capacity: int = 2048, bins: int = 4096) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str, ranks: str, pattern: str, capacity: int = 2048, bins: int = 8192) -> DataFrame:
     """Tokenizes, cuts and packs all documents. Returns PACKED."""
     return packed(tokenized(docs, vocabulary, ranks, pattern, capacity=capacity), capacity, bins)
