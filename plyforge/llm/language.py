@@ -32,7 +32,7 @@ PREDICTED = "lang_pred string, score double"
 class Encoder:
     """Texts to bundled vectors; keeps the vectors of a bounded number of trigrams."""
 
-    def __init__(self, dim: int, seed: int, keep: int = 40_000):
+    def __init__(self, dim: int, seed: int, keep: int = 20_000):
         self.dim, self.seed, self.keep = dim, seed, keep
         self.letters: dict[int, np.ndarray] = {}
         self.codes: dict[int, int] = {}
