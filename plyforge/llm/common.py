@@ -53,3 +53,10 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
     come to the driver as Arrow batches."""
     spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def spread(docs: DataFrame, small: int = 64 << 20) -> DataFrame:
+    """``docs`` over all cores where Spark estimates fewer than ``small`` bytes: such a table may be
+    one file with one row group, which one task would read. Larger tables stay as they are read."""
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return docs.repartition(docs.sparkSession.sparkContext.defaultParallelism) if size < small else docs

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plyforge.llm.common import small_batches
+from plyforge.llm.common import small_batches, spread
 
 SCALE = 10_000
 PREDICTED = "lang_pred string, score double"
@@ -142,5 +142,5 @@ def predict(docs: DataFrame, langs: list[str], prototypes: np.ndarray, seed: int
             yield pd.DataFrame(rows, columns=["lang_pred", "score"])
 
     small_batches(docs.sparkSession)
-    out = docs.withColumn("_named", name(F.col("text")))
+    out = spread(docs).withColumn("_named", name(F.col("text")))
     return out.withColumns({"lang_pred": F.col("_named.lang_pred"), "score": F.col("_named.score")}).drop("_named")

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plyforge.llm.common import small_batches, written
+from plyforge.llm.common import small_batches, spread, written
 from plyforge.llm.skew import components, left_join
 
 SKETCH_BITS, FILTER_BITS = 17, 23
@@ -99,7 +99,7 @@ def signed(docs: DataFrame, words: int, coordinates: int) -> DataFrame:
             yield out.assign(doc_id=out["doc_id"].astype("Int64"))
 
     small_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(sign, SIGNED)
+    return spread(docs.select(F.col("doc_id").cast("long"), "text")).mapInPandas(sign, SIGNED)
 
 
 def _cells(signatures: np.ndarray) -> np.ndarray:

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plyforge.llm.common import small_batches
+from plyforge.llm.common import small_batches, spread
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
@@ -107,7 +107,7 @@ def tokenized(docs: DataFrame, vocabulary: str, ranks: str, pattern: str, separa
             yield out
 
     small_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).mapInPandas(cut, PIECES)
+    return spread(docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))).mapInPandas(cut, PIECES)
 
 
 def packed(pieces: DataFrame, capacity: int = 2048, bins: int = 8192, ahead: int = 8192) -> DataFrame:

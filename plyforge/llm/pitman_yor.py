@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plyforge.llm.common import small_batches, written
+from plyforge.llm.common import small_batches, spread, written
 
 DISH_BITS, LETTERS, BUCKETS, COARSE = 10, 1022, 64, 8
 #: How many restaurants of a level share a parent, from the first level of context up.
@@ -76,7 +76,7 @@ def word_counts(docs: DataFrame, contexts: int) -> DataFrame:
         yield flushed()
 
     small_batches(docs.sparkSession)
-    rows = docs.select("train", "z", "text").mapInPandas(count, "word string, z int, c long")
+    rows = spread(docs.select("train", "z", "text")).mapInPandas(count, "word string, z int, c long")
     each = [F.sum(F.when(F.col("z") == z, F.col("c")).otherwise(F.lit(0))).alias(f"c{z}") for z in range(contexts)]
     return rows.groupBy("word").agg(*each)
 
@@ -425,7 +425,7 @@ def score(docs: DataFrame, held_out: Column, context: str | None = None, most_co
     shared = spark.sparkContext.broadcast((places, table))
     sums = ["known", "base", *(f"f{z}" for z in range(contexts))]
 
-    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def priced_tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """A row per document for its head words, and a row per document and other word."""
         places, table = shared.value
         for batch in batches:
@@ -457,7 +457,7 @@ def score(docs: DataFrame, held_out: Column, context: str | None = None, most_co
 
     small_batches(spark)
     fields = "key long, word string, n long, facts array<long>, sums array<double>"
-    rows = docs.select("doc_id", "held_out", "text").withColumn("key", F.monotonically_increasing_id()).mapInPandas(spread, fields)
+    rows = spread(docs.select("doc_id", "held_out", "text")).withColumn("key", F.monotonically_increasing_id()).mapInPandas(priced_tokens, fields)
     rows = rows.join(priced, "word", "left")
     risen = lambda a: F.when(F.col("n") == 1, F.log10(a)).otherwise(F.aggregate(F.sequence(F.lit(0), F.col("n") - 1), F.lit(0.0), lambda x, j: x + F.log10(a + j)))
     price = {"known": F.col("n") * (F.col("c") > 0).cast("double"), "base": F.col("n") * base(F.col("c")), **{f"f{z}": risen(own * F.col(f"f{z}")) for z in range(contexts)}}

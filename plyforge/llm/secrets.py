@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plyforge.llm.common import ascii_lower
+from plyforge.llm.common import ascii_lower, spread
 
 # The base kinds' patterns (assign is matched on A-Z lower-cased text).
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -145,7 +145,7 @@ def discoveries(candidates: Column, rate: float = 0.05, keep: float = 0.001) ->
 
 def scan(docs: DataFrame, rate: float = 0.05) -> DataFrame:
     """doc_id, text and spans: array<struct<start, kind_no, end, kind>>, by start, then kind."""
-    docs = docs.withColumn("text", F.coalesce("text", F.lit("")))
+    docs = spread(docs).withColumn("text", F.coalesce("text", F.lit("")))
     lower, text = ascii_lower(F.col("text")), F.col("text")
     docs = docs.withColumn("_lower", lower)
     named = F.lit(False)
