@@ -154,12 +154,11 @@ def move_index(uci: Column) -> Column:
     # Directions clockwise from north, and knight steps in the same manner.
     slides = ((0, 1), (1, 1), (1, 0), (1, -1), (0, -1), (-1, -1), (-1, 0), (-1, 1))
     knights = ((1, 2), (2, 1), (2, -1), (1, -2), (-1, -2), (-2, -1), (-2, 1), (-1, 2))
+    place = lambda steps, reach: F.array(*[F.lit(steps.index((f, r)) if (f, r) in steps else None).cast("int") for f in range(-reach, reach + 1) for r in range(-reach, reach + 1)])
     far = F.greatest(F.abs(df), F.abs(dr))
-    straight = (df == 0) | (dr == 0) | (F.abs(df) == F.abs(dr))
+    slide = F.get(place(slides, 1), (F.signum(df).cast("int") + 1) * 3 + F.signum(dr).cast("int") + 1)
+    hop = F.get(place(knights, 2), (df + 2) * 5 + dr + 2)
     plane = F.when(under > 0, F.when((F.abs(df) <= 1) & (F.abs(dr) == 1), 64 + (df + 1) * 3 + under - 1))
-    for i, (f, r) in enumerate(slides):
-        plane = plane.when((under == 0) & straight & (far > 0) & (F.signum(df) == f) & (F.signum(dr) == r), i * 7 + far - 1)
-    for i, (f, r) in enumerate(knights):
-        plane = plane.when((under == 0) & (df == f) & (dr == r), F.lit(56 + i))
+    plane = plane.when((df == 0) | (dr == 0) | (F.abs(df) == F.abs(dr)), F.when(far > 0, slide * 7 + far - 1)).when(far <= 2, 56 + hop)
     index = ((rank(2) * 8 + file(1)) * 73 + plane).cast("int")
     return F.when(uci.rlike("^[a-h][1-8][a-h][1-8][nbrq]?$") & plane.isNotNull(), index).otherwise(F.raise_error(F.concat(F.lit("no plane for move "), F.coalesce(uci, F.lit("null")))).cast("int"))

@@ -32,7 +32,9 @@ def _walk(keys: pd.Series) -> pd.Series:
 
 
 def _positions(spark, d):
-    return table(spark, d, "customer").select("c_custkey", _walk("c_custkey").alias("fen"))
+    # Few bytes a row and much work: the rows go over all cores before the Arrow function.
+    rows = table(spark, d, "customer").select("c_custkey").repartition(spark.sparkContext.defaultParallelism)
+    return rows.select("c_custkey", _walk("c_custkey").alias("fen"))
 
 
 @query()

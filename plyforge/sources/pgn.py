@@ -56,7 +56,8 @@ def parsed(raw: DataFrame) -> DataFrame:
                 out.append(row)
             yield pd.DataFrame(out, columns=["archive", "local_index", "result", "headers", "error", "moves"])
 
-    return raw.mapInPandas(parse, PARSED)
+    # A compressed archive is read by one task; its games are parsed by all.
+    return raw.repartition(raw.sparkSession.sparkContext.defaultParallelism, "archive", "local_index").mapInPandas(parse, PARSED)
 
 
 def records(parsed_games: DataFrame, archive_sha: str, month: str, offset: int = 0, key: bytes | None = None) -> dict[str, DataFrame]:
