@@ -196,3 +196,29 @@ def _train(spark, d):
 def freq_score(spark, d):
     rows = examples(spark, d).filter("temporal_split = 'validation'").select("game_id", "ply", F.col("time_control_raw").alias("band"), F.col("opening").alias("phase"), F.col("ply").alias("action"))
     return leakage.frequency_scores(rows, _train(spark, d), (("band", "phase", "action"), ("phase", "action"), ("action",))).select("game_id", "ply", "score")
+
+
+@query(f"{E}, b AS (SELECT temporal_split, MIN(game_id) AS first_game, MAX(game_id) AS last_game, MIN(ply) AS first_ply, MAX(ply) AS last_ply FROM examples GROUP BY temporal_split) SELECT * FROM b")
+def split_bounds(spark, d):
+    return examples(spark, d).groupBy("temporal_split").agg(F.min("game_id").alias("first_game"), F.max("game_id").alias("last_game"), F.min("ply").alias("first_ply"), F.max("ply").alias("last_ply"))
+
+
+@query(f"{E} SELECT temporal_split, time_control_raw, opening, COUNT(*) AS n FROM examples GROUP BY 1, 2, 3")
+def split_summary_controls(spark, d):
+    return examples(spark, d).groupBy("temporal_split", "time_control_raw", "opening").agg(F.count("*").alias("n"))
+
+
+@query(f"{G}, p AS (SELECT white_player AS player FROM games UNION ALL SELECT black_player FROM games) SELECT player, {HELD.format('player')} AS is_holdout, COUNT(*) AS n FROM p GROUP BY player")
+def holdout_flags(spark, d):
+    players = games(spark, d).select(F.explode(F.array("white_player", "black_player")).alias("player")).groupBy("player").agg(F.count("*").alias("n"))
+    return players.select("player", sampled("player_holdout", SEED, F.col("player"), 10, 100).alias("is_holdout"), "n")
+
+
+@query(f"{E}, t AS (SELECT game_id, ply, quantity, row_number() OVER (PARTITION BY temporal_split ORDER BY {U64.format("'cal|' || CAST(game_id AS VARCHAR) || '|' || CAST(ply AS VARCHAR)")}, game_id, ply, quantity) AS place, temporal_split FROM examples) SELECT temporal_split, CAST(SUM(CASE WHEN place <= 100 THEN quantity ELSE 0 END) AS BIGINT) AS quantity, COUNT(*) AS n FROM t WHERE place <= 100 GROUP BY temporal_split")
+def capped_selection(spark, d):
+    """The first 100 examples of each split in hash order: only the best 100 of each task are shuffled."""
+    from plyforge.functions.identity import u64
+
+    rows = examples(spark, d).select("temporal_split", "game_id", "ply", "quantity", u64(F.concat_ws("|", F.lit("cal"), F.col("game_id").cast("string"), F.col("ply").cast("string"))).alias("u"))
+    rows = rows.withColumn("place", F.row_number().over(Window.partitionBy("temporal_split").orderBy("u", "game_id", "ply", "quantity"))).filter("place <= 100")
+    return rows.groupBy("temporal_split").agg(F.sum("quantity").alias("quantity"), F.count("*").alias("n"))

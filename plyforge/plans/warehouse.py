@@ -180,3 +180,28 @@ def range_gap(spark, d):
     r = s.select((F.row_number().over(w) - 1).alias("idx"), F.sum("n").over(w).alias("range_end"), "n")
     r = r.select("idx", (F.col("range_end") - F.col("n") + F.when(F.col("idx") % 10 == 9, 1).otherwise(0)).alias("range_start"), "range_end")
     return checks.range_gaps(r, "idx", "range_start", "range_end")
+
+
+@query("SELECT lower(column_name) AS name, lower(column_name) IN ('o_orderstatus', 'o_totalprice') AS forbidden FROM information_schema.columns WHERE table_name = 'orders'")
+def catalog_columns(spark, d):
+    """From the schema alone; no job reads the table."""
+    df = table(spark, d, "orders")
+    bad = checks.forbidden_columns(df, {"o_orderstatus", "o_totalprice"})
+    return spark.createDataFrame([(c.lower(), c in bad) for c in df.columns], "name string, forbidden boolean")
+
+
+@query("SELECT l_returnflag, COUNT(*) AS n, CAST(SUM(l_linenumber) AS BIGINT) AS lines FROM lineitem GROUP BY l_returnflag")
+def file_list_scan(spark, d):
+    """An explicit list of files with a declared schema, which also prunes the columns."""
+    from pyspark.sql.types import IntegerType, StringType, StructType
+
+    from plyforge.sources.tables import file_list
+
+    schema = StructType().add("l_returnflag", StringType()).add("l_linenumber", IntegerType())
+    return file_list(spark, [f"{d}/lineitem.parquet"], schema).groupBy("l_returnflag").agg(F.count("*").alias("n"), F.sum("l_linenumber").alias("lines"))
+
+
+@query("SELECT regexp_extract('source_month=' || strftime(o_orderdate, '%Y-%m') || '/part-000000.parquet', 'source_month=([^/\\\\]+)', 1) AS month, COUNT(*) AS n FROM orders GROUP BY 1")
+def partition_path_month(spark, d):
+    path = F.concat(F.lit("source_month="), F.date_format("o_orderdate", "yyyy-MM"), F.lit("/part-000000.parquet"))
+    return table(spark, d, "orders").groupBy(F.regexp_extract(path, r"source_month=([^/\\]+)", 1).alias("month")).agg(F.count("*").alias("n"))
