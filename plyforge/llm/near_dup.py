@@ -2,8 +2,8 @@
 
 1. Every whole text becomes its set of hashed word shingles and a signature of ``coordinates`` minima.
    Documents with equal sets collapse to the smallest id (grouped with map-side partial minima).
-2. Two sets that reach the similarity agree in at least ``least`` coordinates (but for a chance of about one in
-   a million), so they share ``meet`` of their first ``coordinates - least + meet`` coordinate-value pairs in any order
+2. Two sets that reach the similarity agree in at least ``least`` coordinates (but for a chance of a few in
+   a million at the threshold, less above it), so they share ``meet`` of their first ``coordinates - least + meet`` coordinate-value pairs in any order
    that all documents use. The order puts pairs that few documents post first, by a sketch of fixed
    size, so pairs that a common passage brings aren't posted at all: the prefix filter.
 3. Postings meet under their coordinate-value pair. A list of up to ``cold`` documents gives its

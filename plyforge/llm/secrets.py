@@ -182,7 +182,7 @@ def redacted(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     """Documents with every span (overlaps merged by the leftmost) replaced by ``mask``; n_chars
     follows the new text. Documents without spans stay as they are."""
     columns = docs.columns
-    rows = scan(docs.withColumn("_whole", F.col("text")))
+    rows = scan(docs.select("text", F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_doc")))
 
     def masked(text: Column, spans: Column) -> Column:
         start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
@@ -197,6 +197,6 @@ def redacted(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
         return F.aggregate(spans, start, step, lambda a: F.concat(a["out"], F.substring(text, a["at"].cast("int") + 1, F.char_length(text))))
 
     some = F.size("spans") > 0
-    rows = rows.withColumn("_text", F.when(some, masked(F.col("text"), F.col("spans"))).otherwise(F.col("_whole")))
-    rows = rows.withColumn("n_chars", F.when(some, F.char_length("_text").cast("long")).otherwise(F.col("n_chars"))) if "n_chars" in columns else rows
-    return rows.withColumn("text", F.col("_text")).select(*columns)
+    rows = rows.withColumn("_text", F.when(some, masked(F.col("text"), F.col("spans"))).otherwise(F.col("_doc")["text"]))
+    new = {"text": F.col("_text"), "n_chars": F.when(some, F.char_length("_text").cast("long"))}
+    return rows.select(*[(F.coalesce(new[c], F.col("_doc")[c]) if c in new else F.col("_doc")[c]).alias(c) for c in columns])

@@ -38,8 +38,11 @@ def test_secret_method_finds_random_runs_and_leaves_words(spark):
 
 def test_secret_redaction(spark):
     rows = [(1, "é password=abcdefgh12 tail"), (2, "clean"), (3, None)]
-    got = {r.doc_id: (r.text, r.n_chars) for r in secrets.redacted(docs(spark, rows)).collect()}
-    assert got == {1: ("é [SECRET] tail", 15), 2: ("clean", 5), 3: (None, None)}
+    df = docs(spark, rows).withColumn("spans", F.lit("kept")).withColumn("_base", F.lit(9))
+    out = secrets.redacted(df)
+    assert out.columns == df.columns
+    got = {r.doc_id: (r.text, r.n_chars, r.spans, r._base) for r in out.collect()}
+    assert got == {1: ("é [SECRET] tail", 15, "kept", 9), 2: ("clean", 5, "kept", 9), 3: (None, None, "kept", 9)}
 
 
 def brute_fingerprint(spark, texts, k, w, cut):

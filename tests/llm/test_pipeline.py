@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.helpers import ODD
@@ -63,6 +64,18 @@ def test_odd_rows_and_run(spark, tmp_path):
     assert not {5, 4, 3, 7} & set(ids) and not any(i is not None and 200 <= i < 230 for i in ids)
 
 
+def test_clashing_columns_are_carried(spark, tmp_path):
+    rows = [(i, f"some nice words here number {i} and {i * 7} more of them") for i in range(12)]
+    write_tables(spark, str(tmp_path), rows, [(0, 1, 0), (1, 1, 1)])
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("toxicity", "_row", "_doc", "spans", "lang_pred", "tie"):
+        docs = docs.withColumn(name, F.lit(f"own {name}"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+        assert {(r.score, r.toxicity, r._row, r._doc, r.spans, r.lang_pred, r.tie) for r in out.collect()} <= {(3, "own toxicity", "own _row", "own _doc", "own spans", "own lang_pred", "own tie")}
+
+
 def test_empty_tables(spark, tmp_path):
     write_tables(spark, str(tmp_path), [], [])
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
