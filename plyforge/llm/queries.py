@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plyforge.llm import language, near_dup, packing, pitman_yor, secrets, topk, toxicity, url_filter, winnow
+from plyforge.llm import language, near_dup, packing, pieces, pitman_yor, secrets, topk, toxicity, url_filter, winnow
 from plyforge.llm.common import remainder
 
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
@@ -47,6 +47,12 @@ def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitman_yor.score(_table(spark, sf_dir, "documents"), remainder(F.col("doc_id")) == 1, context="lang")
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as files
+
+    return pieces.encode_documents(_table(spark, sf_dir, "documents"), files.path("piece_bpe_32k.model"))
+
+
 def op7_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"), RULES).select("page_id", "host", "path", "rule", "verdict")
 
@@ -68,5 +74,5 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_topk(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 50 == 0, k=5, scale=256)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_winnowing, op2_secret_scan, op3_packing, op4_language_id, op5_pitman_yor, op7_url_reputation, op8_minhash_near_dup, op9_toxicity, op10_exact_topk)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_winnowing, op2_secret_scan, op3_packing, op4_language_id, op5_pitman_yor, op6_sentencepiece, op7_url_reputation, op8_minhash_near_dup, op9_toxicity, op10_exact_topk)}
 SQL: dict[str, str] = {}
