@@ -325,7 +325,7 @@ def hot_links(members: DataFrame, sets: DataFrame, percent: int, block: int) ->
     return rows.groupBy("cell", "lo", "hi").applyInPandas(link, "a long, b long")
 
 
-def classify(docs: DataFrame, words: int = 5, percent: int = 80, coordinates: int = 32, cold: int = 24, block: int = 1024, meet: int = 3) -> DataFrame:
+def classify(docs: DataFrame, words: int = 5, percent: int = 80, coordinates: int = 32, cold: int = 24, block: int = 512, meet: int = 3) -> DataFrame:
     """doc_id, n_shingles, component_id: a row per row of ``docs``."""
     signs = written(signed(docs, words, coordinates), "signatures")
     known = signs.filter("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -344,7 +344,9 @@ def classify(docs: DataFrame, words: int = 5, percent: int = 80, coordinates: in
     same = known.groupBy("doc_id").agg(F.min(F.struct("d1", "d2")).alias("x"), F.max(F.struct("d1", "d2")).alias("y")).filter("x <> y").select("doc_id")
     twice = known.join(same, "doc_id", "left_semi").select("doc_id", "d1", "d2").distinct()
     own = twice.join(reps.select("d1", "d2", F.col("doc_id").alias("rep")), ["d1", "d2"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    small_batches(docs.sparkSession, 64)  # rows with full sets are long
     links = written(confirm(pairs, sets, percent).union(hot_links(members, sets, percent, block)).union(own), "links")
+    small_batches(docs.sparkSession)
     roots = components(links)
     named = reps.select("d1", "d2", "copies", F.col("doc_id").alias("rep")).join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("d1", "d2", "copies", F.coalesce("component", "rep").alias("found"))
