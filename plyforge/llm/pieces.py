@@ -57,6 +57,10 @@ class Vocabulary:
         #: whether a stretch is a piece and whether longer ones are worth a look.
         self.starts: dict[str, tuple[int, float]] = {p[:k]: (-1, 0.0) for p in self.ids for k in range(1, len(p))}
         self.starts |= {p: (i, self.scores[i]) for p, i in self.ids.items()}
+        #: Two characters side by side in some piece; every other pair has a boundary between them on all paths.
+        self.pairs = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
+        #: Decoded pieces, for ids without bytes.
+        self.plain = ["" if t is None else t.replace(SPACE, " ") for t in self.text]
         #: Whether a piece goes on past a word's beginning, such as several spaces in one piece.
         self.spaced = any(SPACE in p[1:].lstrip(SPACE) or (p[0] != SPACE and SPACE in p) for p in self.ids)
         self.worst = min(self.scores, default=0.0) - 10.0
@@ -181,6 +185,9 @@ class Vocabulary:
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text; bytes join to characters, the space put before the text goes."""
+        ids = list(ids)
+        if self.byte_of.keys().isdisjoint(ids):
+            return "".join([self.plain[i] for i in ids])[1:]
         parts, raw = [], bytearray()
         for i in ids:
             b = self.byte_of.get(i)
@@ -190,7 +197,7 @@ class Vocabulary:
             if raw:
                 parts.append(raw.decode("utf-8", "replace"))
                 raw.clear()
-            parts.append((self.text[i] or "").replace(SPACE, " "))
+            parts.append(self.plain[i])
         if raw:
             parts.append(raw.decode("utf-8", "replace"))
         return "".join(parts)[1:]
@@ -199,7 +206,7 @@ class Vocabulary:
 class Encoder:
     """Whole texts to ids, with a bounded memory of words."""
 
-    def __init__(self, vocabulary: Vocabulary, keep: int = 150_000, short: int = 64):
+    def __init__(self, vocabulary: Vocabulary, keep: int = 300_000, short: int = 64):
         self.v, self.keep, self.short = vocabulary, keep, short
         self.seen: dict[str, tuple[int, ...]] = {}
         # A stretch ends before a space that follows something else: no piece spans that boundary.
@@ -215,17 +222,28 @@ class Encoder:
         seen = self.seen
         for word in self.cuts.findall(escaped):
             ids = seen.get(word)
-            if ids is None:
-                if len(word) > self.short:
-                    out.extend(self.v.stream(word))
-                    continue
-                ids = self.v.segment(word)
-                if len(seen) > self.keep:
-                    seen.clear()
-                seen[word] = ids
-            out += ids
+            out += self.word(word) if ids is None else ids
         return out
 
+    def word(self, word: str) -> tuple[int, ...]:
+        """Ids of a stretch that wasn't remembered; parts between which no piece can lie are taken by themselves."""
+        pairs, cuts = self.v.pairs, [0]
+        cuts += [k for k in range(1, len(word)) if word[k - 1 : k + 1] not in pairs]
+        if len(cuts) > 1:
+            ids: tuple[int, ...] = ()
+            for a, b in zip(cuts, [*cuts[1:], len(word)], strict=True):
+                part = word[a:b]
+                ids += self.seen.get(part) or self.word(part)
+        elif len(word) > self.short:
+            return tuple(self.v.stream(word))
+        else:
+            ids = self.v.segment(word)
+        if len(word) <= self.short:
+            if len(self.seen) > self.keep:
+                self.seen.clear()
+            self.seen[word] = ids
+        return ids
+
 
 def encode_documents(docs: DataFrame, model_path: str, shift: float = 10.0) -> DataFrame:
     """doc_id, n_chars, n_ids, ids and decoded_sha256: the digest of what decoding gives, which is the text."""
