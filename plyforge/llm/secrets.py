@@ -1,14 +1,17 @@
 """Secret scans, in DataFrame expressions only.
 
-Base kinds are fixed patterns. Besides them, every run of 20 or more encoding characters is a candidate:
-its encoding (hex, base32, base36 or base64) is inferred from its characters and a battery asks
+Base kinds are fixed patterns. Besides them, every run of 20 or more encoding characters is a candidate, for
+each of four sets of them: letters and digits alone, with base64's '+' and '/', with its URL form's '-' and
+'_', and with all four. So a name, a path or a prefix before a secret is cut off, and '=' always ends a
+run; only padding at the very end belongs to it. A candidate's encoding (hex, base32, base36 or base64) is inferred from its characters and a battery asks
 whether its symbols look drawn at random: chi-squared for a uniform alphabet, the runs test around the
 alphabet's middle and the lag-1 serial correlation, their p-values combined by Fisher's method.
 
 A candidate is a discovery when randomness isn't rejected and the hypothesis "text or identifier" is.
 That hypothesis gives the chi-squared statistic a noncentrality that grows with the length, so
 short candidates, of which nothing can be told, keep large p-values. The p-values of a
-document's candidates go through Benjamini and Hochberg's step-up procedure.
+document's candidates, nested ones too, go through Benjamini and Hochberg's step-up procedure together;
+discoveries that overlap are one span.
 
 Null text counts as empty and has no spans. Repeated rows are kept. An empty table gives an
 empty result. Offsets count code points, ends are exclusive. Other columns are ignored.
@@ -27,7 +30,8 @@ ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "random")
 
-RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
+#: Runs by their characters besides letters and digits; '=' belongs to a run only where it pads its end.
+RUNS = tuple(rf"(?<![A-Za-z0-9{more}])[A-Za-z0-9{more}]{{20,}}(?:=+(?![A-Za-z0-9+/_=-]))?" for more in ("+/_-", "", "+/", "_-"))
 #: name, pattern of the whole candidate, alphabet in order.
 ENCODINGS = (
     ("hex", r"^(?=.*[0-9])(?=.*[A-Fa-f])([0-9a-f]+|[0-9A-F]+)$", "0123456789abcdef"),
@@ -143,6 +147,18 @@ def discoveries(candidates: Column, rate: float = 0.05, keep: float = 0.001) ->
     return _bound(F.transform(candidates, tested), stepped)
 
 
+def _merged(spans: Column) -> Column:
+    """array<struct<start, end>> by start, overlapping ones joined."""
+    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+
+    def step(out: Column, x: Column) -> Column:
+        last = F.get(out, F.size(out) - 1)
+        joined = F.concat(F.slice(out, F.lit(1), F.size(out) - 1), F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"))))
+        return F.when((F.size(out) > 0) & (x["start"] < last["end"]), joined).otherwise(F.concat(out, F.array(x)))
+
+    return F.aggregate(F.array_sort(F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))), none, step)
+
+
 def scan(docs: DataFrame, rate: float = 0.05) -> DataFrame:
     """doc_id, text and spans: array<struct<start, kind_no, end, kind>>, by start, then kind."""
     docs = spread(docs).withColumn("text", F.coalesce("text", F.lit("")))
@@ -156,12 +172,18 @@ def scan(docs: DataFrame, rate: float = 0.05) -> DataFrame:
         "_assign": F.filter(matches(F.col("_lower"), ASSIGN, named, 2), lambda x: F.char_length(x["value"]) >= 8),
         "_access": matches(text, ACCESS, F.contains(text, F.lit("AKIA"))),
         "_hex": matches(text, HEX, text.rlike(HEX)),
-        "_runs": matches(text, RUN, text.rlike(r"[A-Za-z0-9+/_=-]{20}") & text.rlike("[0-9]")),
+        "_runs": matches(text, RUNS[0], text.rlike(r"[A-Za-z0-9+/_-]{20}") & text.rlike("[0-9]")),
     })
     base = F.array_sort(F.concat(*[F.transform(c, kind(i)) for i, c in enumerate(("_assign", "_access", "_hex"))]))
-    docs = docs.withColumn("_base", base).withColumn("_runs", F.filter("_runs", lambda x: x["value"].rlike("[0-9]") & x["value"].rlike("[A-Za-z]")))
+    mixed = lambda runs: F.filter(runs, lambda x: x["value"].rlike("[0-9]") & x["value"].rlike("[A-Za-z]"))
+    docs = docs.withColumn("_base", base).withColumn("_runs", mixed(F.col("_runs")))
+    # Every other run lies in one of these, and differs from it only where that holds '+', '/', '_' or '-'.
+    parted = F.exists("_runs", lambda x: x["value"].rlike("[+/_-]"))
+    docs = docs.withColumn("_runs", F.array_sort(F.concat("_runs", *[mixed(matches(text, run, parted)) for run in RUNS[1:]])))
+    # Equal runs of several sets are neighbours now; the first stays.
+    docs = docs.withColumn("_runs", F.filter("_runs", lambda x, i: (i == 0) | (F.get("_runs", i - 1) != x)))
     apart = lambda x: ~F.exists("_base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
-    found = F.when(F.size("_runs") == 0, F.array().cast("array<struct<start:bigint,kind_no:int,end:bigint,kind:string>>")).otherwise(F.transform(F.filter(discoveries(F.col("_runs"), rate), apart), kind(3)))
+    found = F.when(F.size("_runs") == 0, F.array().cast("array<struct<start:bigint,kind_no:int,end:bigint,kind:string>>")).otherwise(F.transform(_merged(F.filter(discoveries(F.col("_runs"), rate), apart)), kind(3)))
     docs = docs.withColumn("spans", F.array_sort(F.concat("_base", found)))
     return docs.drop("_lower", "_assign", "_access", "_hex", "_runs", "_base")
 

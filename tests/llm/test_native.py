@@ -36,6 +36,20 @@ def test_secret_method_finds_random_runs_and_leaves_words(spark):
     assert got == {1: "random:4:39", 2: "", 3: ""}
 
 
+def test_secret_behind_names_and_prefixes(spark):
+    key, low = "wJa9rXUtnFEMI/K7MDENGbPxRfiCYzQ3Ls+8Vd2h", "9f2xlk8rz7vbn3mtt6ycw1ahs5dg0pj4"
+    heads = ["AWS_SECRET_ACCESS_KEY=", "https://a.org/x?sig=", "AUTH=", "x=1&next=", "key-"]
+    rows = [(i, f"{h}{key} end") for i, h in enumerate(heads)] + [(10, f"é key-{low} end"), (11, f"api_{low}-x end"), (12, f"AUTH={key}== end"), (13, "AWS_SECRET_ACCESS_KEY=the_quick_brown_fox_jumps_over_1999_lazy_dogs")]
+    got = {r.doc_id: r.spans for r in secrets.report(docs(spark, rows)).collect()}
+    for i, h in enumerate(heads[:4]):
+        assert got[i] == f"random:{len(h)}:{len(h) + 40}"
+    # With "key-" before it the whole run is a candidate of the mixed alphabet too, and contains the other.
+    assert got[4] in ("random:0:44", "random:4:44")
+    assert got[10] == "random:6:38" and got[11] == "random:4:36" and got[12] == "random:5:47" and got[13] == ""
+    masked = {r.doc_id: r.text for r in secrets.redacted(docs(spark, rows)).collect()}
+    assert masked[0] == "AWS_SECRET_ACCESS_KEY=[SECRET] end" and masked[10] == "é key-[SECRET] end"
+
+
 def test_secret_redaction(spark):
     rows = [(1, "é password=abcdefgh12 tail"), (2, "clean"), (3, None)]
     df = docs(spark, rows).withColumn("spans", F.lit("kept")).withColumn("_base", F.lit(9))
