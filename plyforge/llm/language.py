@@ -91,6 +91,15 @@ class Encoder:
         return total / size if size else total
 
 
+def _sampled(docs: DataFrame, training: Column, per_language: int, most_languages: int) -> DataFrame:
+    """The documents that prototypes are fitted on: doc_id, text, lang."""
+    rows = docs.filter(training & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    # At most ``most_languages`` rows, so they are broadcast and no text is shuffled.
+    counts = F.broadcast(rows.groupBy("lang").agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), "lang").limit(most_languages))
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1_000_000))
+    return rows.select("doc_id", "text", "lang").join(counts, "lang").filter(draw < F.lit(1_000_000.0 * per_language) / F.col("_n"))
+
+
 def fit(docs: DataFrame, training: Column, per_language: int = 2000, most_languages: int = 256, dim: int = 1024, seed: int = 5) -> tuple[list[str], np.ndarray]:
     """(languages, prototypes) of the ``most_languages`` most frequent languages, from the rows that
     ``training`` marks and whose lang isn't null."""
@@ -105,11 +114,7 @@ def fit(docs: DataFrame, training: Column, per_language: int = 2000, most_langua
         rows = [(lang, i, int(x)) for lang, v in sums.items() for i, x in enumerate(v)]
         yield pd.DataFrame(rows, columns=["lang", "at", "x"])
 
-    rows = docs.filter(training & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    # At most ``most_languages`` rows, so they are broadcast and no text is shuffled.
-    counts = F.broadcast(rows.groupBy("lang").agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), "lang").limit(most_languages))
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1_000_000))
-    rows = rows.select("doc_id", "text", "lang").join(counts, "lang").filter(draw < F.lit(1_000_000.0 * per_language) / F.col("_n"))
+    rows = _sampled(docs, training, per_language, most_languages)
     small_batches(docs.sparkSession)
     sums = rows.select("text", "lang").mapInPandas(bundle, "lang string, at int, x long").groupBy("lang", "at").agg(F.sum("x").alias("x")).toPandas()
     langs = sorted(sums["lang"].unique())
@@ -118,6 +123,14 @@ def fit(docs: DataFrame, training: Column, per_language: int = 2000, most_langua
     return langs, out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
 
 
+def least_scores(docs: DataFrame, training: Column, langs: list[str], prototypes: np.ndarray, quantile: float = 0.005, per_language: int = 2000, most_languages: int = 256) -> dict[str, float]:
+    """Of every language, the score that all but ``quantile`` of its own training documents reach (those
+    that are named rightly; the lowest of the others' where there are none)."""
+    rows = predict(_sampled(docs, training, per_language, most_languages).select("text", "lang"), langs, prototypes).filter(F.col("lang_pred") == F.col("lang"))
+    found = {r["lang"]: r["least"] for r in rows.groupBy("lang").agg(F.percentile_approx("score", quantile).alias("least")).collect()}
+    return {lang: found.get(lang, min(found.values(), default=0.0)) for lang in langs}
+
+
 def predict(docs: DataFrame, langs: list[str], prototypes: np.ndarray, seed: int = 5) -> DataFrame:
     """``docs`` (all its columns) with lang_pred and score; the text only moves to the workers."""
     dim = prototypes.shape[1]

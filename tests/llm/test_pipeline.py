@@ -55,6 +55,15 @@ def check_packed(rows, texts):
         assert r["ids_crc32"] == zlib.crc32(ids[r["start"] : r["start"] + r["length"]].tobytes())
 
 
+def test_language_stage_drops_texts_of_no_language(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    noise = ["9fQ2xLk8Rz7VbN3mTt6YcW1aHs5Dg0Pj4Ue" * 30, "0123456789abcdef" * 50, "asdf jkl qwz xkcd lkj hgf " * 20, "Привет мир, как дела сегодня " * 10, "これは日本語の文章です。" * 20]
+    more = docs.limit(1).select(*[c for c in docs.columns if c not in ("doc_id", "text")]).withColumn("lang", F.lit(None).cast("string"))
+    more = more.crossJoin(spark.createDataFrame([(-1 - i, t) for i, t in enumerate(noise)], "doc_id long, text string")).select(docs.columns)
+    kept = {r.doc_id for r in corpus_pipeline.language_stage(spark, docs.unionByName(more), "").select("doc_id").collect()}
+    assert not {i for i in kept if i < 0} and len(kept) >= 0.98 * docs.count()
+
+
 def test_odd_rows_and_run(spark, tmp_path):
     rows = ODD + [(100 + i, f"nice words number {i} all fine") for i in range(30)] + [(200 + i, f"you idiot number {i} all fine") for i in range(30)] + [(None, None), (7, "1234 5678")]
     write_tables(spark, str(tmp_path), rows, [(100 + i, 1, 0) for i in range(30)] + [(200 + i, 1, 1) for i in range(30)])
