@@ -61,6 +61,16 @@ def test_decoding(chars, hidden, word):
     assert toxicity.Reader(chars, None).restored(hidden) == word
 
 
+@pytest.mark.parametrize(("text", "word"), [("you are a s t u p i d person", "stupid"), ("what a l o s e r", "loser"), ("y o u a r e s t u p i d", "stupid"), ("a stu pid person", "stupid"), ("a  m o r o n, really", "moron"), ("such a 1 d 1 0 t", "idiot")])
+def test_spaced_words_come_apart(word, text):
+    counts = {}
+    for w in "idiot loser stupid trash clown moron you are a person what such the and that thing other".split():
+        for g in toxicity.trigrams(w):
+            counts[g] = counts.get(g, 0) + 30
+    assert toxicity.Reader(toxicity.CharModel(counts), {word: 0})(text) == {0}
+    assert toxicity.Reader(toxicity.CharModel(counts), {word: 0})("what other thing and you are a person") == set()
+
+
 def test_restored_text(chars):
     assert toxicity.restored_text("that l o s e r here, 1d10t and 127.0.0.1", chars) == "that loser here, idiot and 127.0.0.1"
 
