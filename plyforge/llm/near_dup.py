@@ -332,9 +332,10 @@ def classify(docs: DataFrame, words: int = 5, percent: int = 80, coordinates: in
     reps = written(known.groupBy("d1", "d2").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("signature").alias("signature")), "representatives")
     least = least_matches(percent / 100, coordinates)
     # Pairs that agree in ``least`` coordinates share ``meet`` of their first coordinates - least + meet.
-    first = coordinates - least + 1
-    posted = postings(reps, coordinates, min(coordinates, first + meet - 1), sketch_of(reps, coordinates))
-    met = written(collisions(posted, cold, first), "collisions")
+    # Long lists record all that post there: any of those ``meet`` may be in one.
+    prefix = min(coordinates, coordinates - least + meet)
+    posted = postings(reps, coordinates, prefix, sketch_of(reps, coordinates))
+    met = written(collisions(posted, cold, prefix), "collisions")
     pairs = met.filter("b IS NOT NULL").groupBy("a", "b").agg(F.count("*").alias("shared")).filter(F.col("shared") >= min(meet, least)).select("a", "b")
     pairs = written(matching(pairs, reps, coordinates, least).distinct(), "pairs")
     members = written(met.filter("b IS NULL").select("cell", F.col("a").alias("doc_id")), "members")

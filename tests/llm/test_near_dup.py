@@ -89,3 +89,12 @@ def test_signature_estimates_similarity():
     a, b = shingle(" ".join(words)), shingle(" ".join(words[:360] + [f"z{i}" for i in range(40)]))
     true = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
     assert abs((near_dup.signature(a, 512) == near_dup.signature(b, 512)).mean() - true) < 0.06
+
+
+def test_long_lists_record_every_posted_place(spark, monkeypatch):
+    seen = {}
+    postings, collisions = near_dup.postings, near_dup.collisions
+    monkeypatch.setattr(near_dup, "postings", lambda reps, coordinates, prefix, sketch: postings(reps, coordinates, seen.setdefault("prefix", prefix), sketch))
+    monkeypatch.setattr(near_dup, "collisions", lambda posted, cold, first: collisions(posted, cold, seen.setdefault("first", first)))
+    near_dup.classify(docs(spark, [(1, "a b c d"), (2, "a b c e")]), words=3, percent=85).collect()
+    assert seen["first"] == seen["prefix"] == 18
