@@ -9,9 +9,10 @@ parents. So letters are learned from types, and frequent words from tokens. Each
 restaurant of its own (discount 0) below its context's, so that it predicts its own repetitions. A text's
 context isn't given to scoring: its probability is the mixture over contexts, weighted by their training texts.
 
-Seating is sampled by Gibbs: every dish's customers in a restaurant leave and sit down again
-given all others' seats, level by level; tables are the customers of the level above. Several
-samples after burn-in give predictive probabilities, whose mean scores the tokens.
+Seating in the letters' restaurants is sampled by Gibbs: every dish's customers in a restaurant leave and sit
+down again given all others' seats, level by level; tables are the customers of the level above. The words'
+restaurants are seated in a single pass a sample, from one table a dish, without sweeps. Several samples
+give predictive probabilities, whose mean scores the tokens. No restaurant knows the words before.
 
 Contexts see the 62 most frequent letters singly (a boundary and one class for all others make
 64), the fourth letter in 8 classes; 1022 letters are dishes of their own. So the letters' model has a
