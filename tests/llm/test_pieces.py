@@ -1,5 +1,8 @@
 import hashlib
+import random
+import time
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -28,39 +31,76 @@ def brute(v, text):
     return best
 
 
-def score(v, ids):
-    return sum(v.worst if i in v.byte_of else v.scores[i] for i in ids)
+def score(v, text, ids):
+    """Sum of the pieces' scores; a character of byte pieces counts once."""
+    raw = bytes(v.byte_of[i] for i in ids if i in v.byte_of).decode()
+    return sum(v.scores[i] for i in ids if i not in v.byte_of) + v.worst * len(raw)
+
+
+def lanes(v, *texts):
+    return [np.frombuffer(raw, "<i4").tolist() for raw in v.lanes(list(texts))]
 
 
 @settings(max_examples=150, deadline=None)
 @given(st.text("abc▁é", max_size=11))
 def test_best_score_equals_brute_force(text):
     v = toy()
-    for ids in (v.segment(text), list(v.stream(text))):
-        assert score(v, ids) == pytest.approx(brute(v, text))
+    for ids in (list(v.stream([text])), *(lanes(v, text) if text else [])):
+        assert score(v, text, ids) == pytest.approx(brute(v, text))
 
 
 @settings(max_examples=100, deadline=None)
 @given(st.text("abc ▁é\n", max_size=300))
-def test_streaming_equals_whole_search_and_round_trips(text):
+def test_all_ways_of_streaming_give_the_same_ids_and_round_trip(text):
     for v in (toy(), toy([("a▁b", -4.0)])):
         escaped = pieces.SPACE + text.replace(pieces.SPACE, pieces.LITERAL).replace(" ", pieces.SPACE)
-        whole, streamed = v.segment(escaped), list(v.stream(escaped))
-        assert score(v, streamed) == pytest.approx(score(v, whole))
-        ids = pieces.Encoder(v, keep=3, short=8)(text)
-        assert v.decode(ids) == text and (not text or score(v, ids) == pytest.approx(score(v, whole)))
-
-
-def test_window_stays_bounded():
-    v, longest = toy(), 0
-
-    class Watched(dict):
-        pass
-
-    nodes = []
-    commit = v._commit
-    v._commit = lambda n, root: (nodes.append(len(n)), commit(n, root))[1]
-    assert len(list(v.stream("abcab" * 4000))) > 1000 and max(nodes) <= v.longest + 1 and longest == 0
+        ids = list(v.stream(escaped)) if text else []  # character by character
+        for keep in (3, 1000):
+            assert pieces.Encoder(v, keep=keep)(text) == ids
+        assert v.decode(ids) == text and (not text or lanes(v, "a", escaped, "b▁c")[1] == ids)
+
+
+def test_window_stays_bounded_and_ids_come_early():
+    v, sizes, read, seen = toy(), [], 0, 0
+    advance = v._advance
+    v._advance = lambda *args: (sizes.append(len(args[4])), advance(*args))[1]
+
+    def chars():
+        nonlocal read
+        for c in "abcab" * 4000:
+            read += 1
+            yield c
+
+    late = 0
+    for i in v.stream(chars()):
+        seen += len(v.text[i])
+        late = max(late, read - seen)
+    assert seen == 20_000 and max(sizes) <= 4 * v.longest and late <= 5 * v.longest
+
+
+def test_long_stretches_take_linear_time(model):
+    encode = pieces.Encoder(pieces.Vocabulary.load(model))
+    for text in ("".join(chr(0x4E00 + i * 7919 % 5000) for i in range(200_000)), "abcdefgh" * 25_000, "x" * 200_000, " " * 200_000):
+        start = time.monotonic()
+        assert encode.v.decode(encode(text)) == text
+        assert time.monotonic() - start < 20
+
+
+def test_ids_of_a_unigram_model_are_the_librarys(tmp_path):
+    from sentencepiece import SentencePieceProcessor, sentencepiece_model_pb2
+
+    proto = sentencepiece_model_pb2.ModelProto()
+    kinds = {"other": 2, "byte": 6, "normal": 1}
+    for piece, value, kind in [("<unk>", 0.0, "other"), *BYTES, *[(p, s - 0.0137 * i, "normal") for i, (p, s) in enumerate(NORMAL)]]:  # without ties
+        proto.pieces.add(piece=piece, score=value, type=kinds[kind])
+    proto.trainer_spec.model_type, proto.trainer_spec.byte_fallback = 1, True
+    proto.normalizer_spec.name, proto.normalizer_spec.remove_extra_whitespaces = "identity", False
+    (tmp_path / "toy.model").write_bytes(proto.SerializeToString())
+    library = SentencePieceProcessor(model_file=str(tmp_path / "toy.model"))
+    encode, draw = pieces.Encoder(pieces.Vocabulary.load(str(tmp_path / "toy.model"))), random.Random(5)
+    for _ in range(500):
+        text = "".join(draw.choice("abc cabé") for _ in range(draw.randrange(60)))
+        assert encode(text) == library.encode(text), text
 
 
 @pytest.fixture(scope="module")
