@@ -1,5 +1,10 @@
+import math
+import random
+
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from plyforge.llm import language, queries, toxicity
@@ -71,6 +76,59 @@ def test_spaced_words_come_apart(word, text):
     assert toxicity.Reader(toxicity.CharModel(counts), {word: 0})("what other thing and you are a person") == set()
 
 
+def every_reading(token, model, context="^^", last="", out=""):
+    """Scores of all ways through a token's lattice."""
+    if not token:
+        yield model.log(context, "$"), out
+        return
+    c, rest = token[0], token[1:]
+    options = [(x, toxicity.CHANGED) for x in toxicity.LEET.get(c, "")] + ([(c, 0.0)] if c in toxicity.LETTERS else [])
+    if c == " ":
+        ended = model.log(context, "$") if context != "^^" else 0.0
+        yield from ((s + ended, o) for s, o in every_reading(rest, model, "^^", c, out + " " * (context != "^^")))
+    for x, cost in options:
+        yield from ((s + cost + model.log(context, x), o) for s, o in every_reading(rest, model, context[1] + x, c, out + x))
+    droppable = c in toxicity.SEPARATORS + " " or c == last or not options
+    if droppable and (c != " " or context != "^^"):
+        cost = toxicity.DROPPED if c in toxicity.SEPARATORS + " " or c == last else 2 * toxicity.DROPPED
+        yield from ((s + cost, o) for s, o in every_reading(rest, model, context, c, out))
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.text("iad0t1@ .-o!ü9", min_size=1, max_size=9))
+def test_decoding_equals_brute_force(text):
+    model = toxicity.CharModel({g: 7 + i for i, g in enumerate(g for w in ("idiot", "toad", "dot", "add", "iota") for g in toxicity.trigrams(w))})
+    best = max((s for s, _ in every_reading(text, model)), default=-math.inf)
+    got, word = toxicity.decoded(text, model)
+    assert got == pytest.approx(best) and any(o == word and s == pytest.approx(best) for s, o in every_reading(text, model))
+
+
+def test_nothing_that_hides_is_passed_over(chars):
+    draw, words = random.Random(4), "idiot loser stupid the and other reading here there that a I".split()
+    wanted = {f: i for i, f in enumerate(dict.fromkeys(x for w in ("idiot", "loser", "stupid") for x in toxicity.features_of(w)))}
+    ways = [str.upper, lambda w: " ".join(w), lambda w: "-".join(w), lambda w: w.replace("o", "0").replace("s", "$"), lambda w: w[:2] + w[2:3] * 80 + w[2:], lambda w: w[0] + "." * 90 + w[1:], lambda w: f"({w})!", lambda w: w[:3] + " " + w[3:], str]
+    for _ in range(150):
+        text = " ".join(draw.choice(ways)(draw.choice(words)) for _ in range(12))
+        read = toxicity.Reader(chars, wanted)
+        found = set(text.split()).union(*(read.apart(x) for x in toxicity.STRETCH.findall(text)))
+        assert read(text) == {wanted[f] for x in found for f in toxicity.features_of(read.restored(x)) if f in wanted}
+
+
+@pytest.mark.parametrize("text", ["s" + 70 * "-" + "tupid", "what an (idiot)!", "l" + "o" * 90 + "ser", "1d10t!!", "+rash"])
+def test_long_and_bracketed_tokens(chars, text):
+    assert toxicity.Reader(chars, {"stupid": 0, "idiot": 0, "loser": 0, "trash": 0})(text) == {0}
+
+
+def test_regression_is_at_its_minimum():
+    draw = np.random.default_rng(3)
+    x, weight = draw.random((80, 6)) < 0.4, draw.random(80) + 0.5
+    y = (x[:, 0] | (draw.random(80) < 0.3)).astype(float)
+    w = toxicity._regress([np.flatnonzero(r) for r in x], 6, y, weight, steps=3000)
+    p = 1 / (1 + np.exp(-(w[0] + x @ w[1:])))
+    slope = np.concatenate([[weight @ (p - y)], x.T.astype(float) @ (weight * (p - y)) + 0.05 * w[1:]])
+    assert np.abs(slope).max() < 1e-3
+
+
 def test_restored_text(chars):
     assert toxicity.restored_text("that l o s e r here, 1d10t and 127.0.0.1", chars) == "that loser here, idiot and 127.0.0.1"
 
