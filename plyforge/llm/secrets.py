@@ -7,11 +7,14 @@ run; only padding at the very end belongs to it. A candidate's encoding (hex, ba
 whether its symbols look drawn at random: chi-squared for a uniform alphabet, the runs test around the
 alphabet's middle and the lag-1 serial correlation, their p-values combined by Fisher's method.
 
-A candidate is a discovery when randomness isn't rejected and the hypothesis "text or identifier" is.
-That hypothesis gives the chi-squared statistic a noncentrality that grows with the length, so
-short candidates, of which nothing can be told, keep large p-values. The p-values of a
+Only runs that one of the encodings may explain are candidates: all four need a digit and a letter, so words
+and numbers alone are no hypotheses.
+
+The null hypothesis of a candidate is "text or identifier". It gives the chi-squared statistic a noncentrality
+that grows with the length, so short candidates, of which nothing can be told, keep large p-values; a candidate whose
+combined battery rejects randomness keeps its null hypothesis (p-value 1). The p-values of a
 document's candidates, nested ones too, go through Benjamini and Hochberg's step-up procedure together;
-discoveries that overlap are one span.
+discoveries that overlap are one span. Work is nearly linear in a text's candidates.
 
 Null text counts as empty and has no spans. Repeated rows are kept. An empty table gives an
 empty result. Offsets count code points, ends are exclusive. Other columns are ignored.
@@ -41,7 +44,7 @@ ENCODINGS = (
 )
 #: Sum of squared symbol frequencies that text in an alphabet has at least.
 TEXT_MATCH = {"hex": 0.1, "base32": 0.065, "base36": 0.06, "base64": 0.05}
-BLOCK = 128
+BLOCK, MASKED = 128, 4096
 
 
 def _bound(value: Column, body) -> Column:
@@ -100,29 +103,40 @@ def battery(value: Column, alphabet: str, match: float) -> Column:
     cased = F.lower(value) if alphabet == alphabet.lower() else F.translate(value, "-_", "+/")
     symbols = F.transform(F.split(cased, ""), lambda c: F.instr(F.lit(alphabet), c) - 1)
 
-    def tests(s: Column) -> Column:
-        n = F.size(s).cast("double")
-        squares = F.aggregate(F.array_distinct(s), F.lit(0.0), lambda a, x: a + F.pow(F.size(F.filter(s, lambda y: y == x)), F.lit(2.0)))
-        chi = squares * size / n - n
+    def sums(s: Column) -> Column:
+        """What the tests need, each in one pass."""
+        number = lambda x: F.coalesce(x, F.lit(0)).cast("double")
+        total = lambda a, f: F.aggregate(a, F.lit(0.0), lambda t, x: t + f(x))
+        pairs = F.zip_with(F.slice(s, F.lit(1), F.size(s) - 1), F.slice(s, F.lit(2), F.size(s)), lambda x, y: F.struct(x.alias("x"), y.alias("y")))
+        counts = F.transform(F.array_distinct(s), lambda x: F.size(F.filter(s, lambda y: y == x)))
+        return F.struct(
+            F.size(s).cast("double").alias("n"), total(counts, lambda c: number(c) * c).alias("squares"), total(s, lambda x: F.when(x >= size // 2, 1.0).otherwise(0.0)).alias("high"),
+            total(s, number).alias("sum"), total(s, lambda x: number(x) * x).alias("power"), F.get(s, 0).cast("double").alias("first"), F.element_at(s, -1).cast("double").alias("last"),
+            _bound(pairs, lambda p: F.struct(total(p, lambda q: F.when((q["x"] >= size // 2) != (q["y"] >= size // 2), 1.0).otherwise(0.0)).alias("turns"), total(p, lambda q: number(q["x"]) * q["y"]).alias("lagged"))).alias("p"),
+        )
+
+    def statistics(t: Column) -> Column:
+        n, high, mean = t["n"], t["high"], t["sum"] / t["n"]
+        expected = 2 * high * (n - high) / n + 1
+        power = t["power"] - t["sum"] * mean
+        lagged = t["p"]["lagged"] - mean * (2 * t["sum"] - t["first"] - t["last"]) + (n - 1) * mean * mean
+        return F.struct(
+            n.alias("n"), (t["squares"] * size / n - n).alias("chi"), (1 + t["p"]["turns"] - expected).alias("runs"),
+            ((expected - 1) * (expected - 2) / (n - 1)).alias("spread"), power.alias("power"), F.when(power > 0, lagged / power).alias("serial"),
+        )
+
+    def p_values(t: Column) -> Column:
         df = size - 1.0
-        third = F.pow(F.greatest(chi, F.lit(0.0)) / df, F.lit(1 / 3))
+        third = F.pow(F.greatest(t["chi"], F.lit(0.0)) / df, F.lit(1 / 3))
         p_chi = F.greatest(F.lit(1e-12), _normal(-(third - (1 - 2 / (9 * df))) / (2 / (9 * df)) ** 0.5))
-        high = F.aggregate(s, F.lit(0.0), lambda a, x: a + F.when(x >= size // 2, 1.0).otherwise(0.0))
-        runs = 1 + F.size(F.filter(F.sequence(F.lit(1), F.size(s) - 1), lambda i: (F.get(s, i) >= size // 2) != (F.get(s, i - 1) >= size // 2)))
-        expected = 2 * high * (n - high) / n + 1
-        spread = (expected - 1) * (expected - 2) / (n - 1)
-        p_runs = F.when(spread > 0, _two_sided((runs - expected) / F.sqrt(spread))).otherwise(F.lit(1e-12))
-        mean = F.aggregate(s, F.lit(0.0), lambda a, x: a + x) / n
-        power = F.aggregate(s, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean))
-        lagged = F.aggregate(F.sequence(F.lit(1), F.size(s) - 1), F.lit(0.0), lambda a, i: a + (F.get(s, i) - mean) * (F.get(s, i - 1) - mean))
-        p_serial = F.when(power > 0, _two_sided((lagged / power + 1 / n) * F.sqrt(n))).otherwise(F.lit(1e-12))
-        half = -(F.log(p_chi) + F.log(p_runs) + F.log(p_serial))
-        p_random = F.exp(-half) * (1 + half + half * half / 2)
-        shift = n * (size * match - 1)
-        p_text = _normal((chi - df - shift) / F.sqrt(2 * df + 4 * shift))
-        return F.struct(p_random.alias("p_random"), p_text.alias("p_text"))
+        p_runs = F.when(t["spread"] > 0, _two_sided(t["runs"] / F.sqrt(t["spread"]))).otherwise(F.lit(1e-12))
+        p_serial = F.when(t["power"] > 0, _two_sided((t["serial"] + 1 / t["n"]) * F.sqrt(t["n"]))).otherwise(F.lit(1e-12))
+        shift = t["n"] * (size * match - 1)
+        p_text = _normal((t["chi"] - df - shift) / F.sqrt(2 * df + 4 * shift))
+        return F.struct((-(F.log(p_chi) + F.log(p_runs) + F.log(p_serial))).alias("half"), p_text.alias("p_text"))
 
-    return _bound(symbols, tests)
+    fisher = lambda t: F.struct((F.exp(-t["half"]) * (1 + t["half"] + t["half"] * t["half"] / 2)).alias("p_random"), t["p_text"].alias("p_text"))
+    return _bound(_bound(_bound(_bound(symbols, sums), statistics), p_values), fisher)
 
 
 def discoveries(candidates: Column, rate: float = 0.05, keep: float = 0.001) -> Column:
@@ -138,25 +152,62 @@ def discoveries(candidates: Column, rate: float = 0.05, keep: float = 0.001) ->
         p = tests.otherwise(nothing)
         return F.struct(x["start"].alias("start"), x["end"].alias("end"), p.alias("p"))
 
+    def p_value(x: Column) -> Column:
+        return F.when(x["p"]["p_random"] < keep, F.lit(1.0)).otherwise(x["p"]["p_text"])
+
     def stepped(all_: Column) -> Column:
-        ps = F.transform(all_, lambda x: x["p"]["p_text"])
-        passing = F.filter(ps, lambda p: p <= rate * F.size(F.filter(ps, lambda o: o <= p)) / F.size(ps))
-        limit = F.coalesce(F.array_max(passing), F.lit(-1.0))
-        return F.filter(all_, lambda x: (x["p"]["p_text"] <= limit) & (x["p"]["p_random"] >= keep))
+        """Each value is bound once: the sorted p-values, then the largest one under its step."""
+        limit = lambda ps: F.coalesce(F.array_max(F.filter(ps, lambda p, i: p <= (i + 1) * (F.lit(rate) / F.size(ps)))), F.lit(-1.0))
+        limits = F.transform(F.array(F.array_sort(F.transform(all_, p_value))), limit)
+        passing = F.flatten(F.transform(limits, lambda most: F.filter(all_, lambda x: p_value(x) <= most)))
+        return F.transform(passing, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
 
     return _bound(F.transform(candidates, tested), stepped)
 
 
+def _tops_before(values: Column) -> Column:
+    """Of each place the largest of all values before it, -1 at the first; by the largest of whole blocks."""
+
+    def tops(v: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / BLOCK).cast("int")), lambda b: F.array_max(F.slice(v, b * BLOCK + 1, F.lit(BLOCK))))
+
+    def before(x: Column) -> Column:
+        block = lambda i: F.floor(i / BLOCK).cast("int")
+        inside = lambda i: F.array_max(F.slice(x["v"], block(i) * BLOCK + 1, i - block(i) * BLOCK))
+        return F.transform(x["v"], lambda _, i: F.greatest(F.array_max(F.slice(x["tops"], F.lit(1), block(i))), inside(i), F.lit(-1).cast("long")))
+
+    return _bound(_bound(values, lambda v: F.struct(v.alias("v"), tops(v).alias("tops"))), before)
+
+
 def _merged(spans: Column) -> Column:
-    """array<struct<start, end>> by start, overlapping ones joined."""
-    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    """array<struct<start, end>> of one span at least, by start, overlapping ones joined."""
 
-    def step(out: Column, x: Column) -> Column:
-        last = F.get(out, F.size(out) - 1)
-        joined = F.concat(F.slice(out, F.lit(1), F.size(out) - 1), F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"))))
-        return F.when((F.size(out) > 0) & (x["start"] < last["end"]), joined).otherwise(F.concat(out, F.array(x)))
+    def heads(s: Column) -> Column:
+        """(start, largest end before) of the spans that begin behind all before them, then the largest end of all."""
+        places = F.arrays_zip(F.transform(s, lambda x: x["start"]).alias("start"), _tops_before(F.transform(s, lambda x: x["end"])).alias("top"))
+        last = F.struct(F.lit(0).cast("long").alias("start"), F.array_max(F.transform(s, lambda x: x["end"])).alias("top"))
+        return F.concat(F.filter(places, lambda x: x["start"] >= x["top"]), F.array(last))
 
-    return F.aggregate(F.array_sort(F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))), none, step)
+    def joined(h: Column) -> Column:
+        return F.zip_with(F.slice(h, F.lit(1), F.size(h) - 1), F.slice(h, F.lit(2), F.size(h)), lambda x, y: F.struct(x["start"].alias("start"), y["top"].alias("end")))
+
+    return _bound(_bound(F.array_sort(F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))), heads), joined)
+
+
+def _apart(spans: Column, base: Column) -> Column:
+    """The ``spans`` that overlap none of ``base`` (disjoint ones by start): the first base that ends behind a span's start begins behind its end."""
+
+    def passed(b: Column) -> Column:
+        """By blocks of bases: their last ends."""
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(b) - 1) / BLOCK).cast("int")), lambda k: F.get(b, F.least(k * BLOCK + BLOCK, F.size(b)) - 1)["end"])
+
+    def kept(x: Column, b: Column) -> Column:
+        whole = F.size(F.filter(b["lasts"], lambda e: e <= x["start"])) * BLOCK
+        part = F.filter(F.slice(b["base"], whole + 1, F.lit(BLOCK)), lambda y: y["end"] > x["start"])
+        return F.coalesce(F.get(part, 0)["start"] >= x["end"], F.lit(True))
+
+    bound = _bound(base, lambda b: F.array(F.struct(b.alias("base"), passed(b).alias("lasts"))))
+    return F.flatten(F.transform(bound, lambda b: F.filter(spans, lambda x: kept(x, b))))
 
 
 def scan(docs: DataFrame, rate: float = 0.05) -> DataFrame:
@@ -182,10 +233,12 @@ def scan(docs: DataFrame, rate: float = 0.05) -> DataFrame:
     docs = docs.withColumn("_runs", F.array_sort(F.concat("_runs", *[mixed(matches(text, run, parted)) for run in RUNS[1:]])))
     # Equal runs of several sets are neighbours now; the first stays.
     docs = docs.withColumn("_runs", F.filter("_runs", lambda x, i: (i == 0) | (F.get("_runs", i - 1) != x)))
-    apart = lambda x: ~F.exists("_base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
-    found = F.when(F.size("_runs") == 0, F.array().cast("array<struct<start:bigint,kind_no:int,end:bigint,kind:string>>")).otherwise(F.transform(_merged(F.filter(discoveries(F.col("_runs"), rate), apart)), kind(3)))
+    none = lambda of: F.array().cast(f"array<struct<{of}>>")
+    docs = docs.withColumn("_found", F.when(F.size("_runs") == 0, none("start:bigint,end:bigint")).otherwise(discoveries(F.col("_runs"), rate)))
+    docs = docs.withColumn("_found", F.when((F.size("_base") == 0) | (F.size("_found") == 0), F.col("_found")).otherwise(_apart(F.col("_found"), _merged(F.col("_base")))))
+    found = F.when(F.size("_found") == 0, none("start:bigint,kind_no:int,end:bigint,kind:string")).otherwise(F.transform(_merged(F.col("_found")), kind(3)))
     docs = docs.withColumn("spans", F.array_sort(F.concat("_base", found)))
-    return docs.drop("_lower", "_assign", "_access", "_hex", "_runs", "_base")
+    return docs.drop("_lower", "_assign", "_access", "_hex", "_runs", "_base", "_found")
 
 
 def listed(spans: Column) -> Column:
@@ -207,16 +260,24 @@ def redacted(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     rows = scan(docs.select("text", F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_doc")))
 
     def masked(text: Column, spans: Column) -> Column:
-        start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
+        """Blocks of the text, each without its parts of the spans; so time is in proportion to the text."""
+
+        def cut(block: Column, at: Column, all_: Column) -> Column:
+            end = at + F.char_length(block)
+            first = F.struct(F.lit("").alias("out"), at.alias("at"))
+
+            def step(s: Column, x: Column) -> Column:
+                begin = F.greatest(x["start"], s["at"])
+                kept = F.substring(block, (s["at"] - at).cast("int") + 1, (begin - s["at"]).cast("int"))
+                return F.struct(F.concat(s["out"], kept, F.when(x["start"] >= at, F.lit(mask)).otherwise(F.lit(""))).alias("out"), F.greatest(s["at"], F.least(x["end"], end)).alias("at"))
 
-        def step(a: Column, x: Column) -> Column:
-            inside = x["end"] <= a["at"]
-            begin = F.greatest(x["start"], a["at"])
-            kept = F.substring(text, a["at"].cast("int") + 1, (begin - a["at"]).cast("int"))
-            out = F.when(inside, a["out"]).when(x["start"] < a["at"], a["out"]).otherwise(F.concat(a["out"], kept, F.lit(mask)))
-            return F.struct(out.alias("out"), F.greatest(a["at"], x["end"]).alias("at"))
+            rest = lambda s: F.concat(s["out"], F.substring(block, (s["at"] - at).cast("int") + 1, (end - s["at"]).cast("int")))
+            return F.aggregate(F.filter(all_, lambda x: (x["start"] < end) & (x["end"] > at)), first, step, rest)
 
-        return F.aggregate(spans, start, step, lambda a: F.concat(a["out"], F.substring(text, a["at"].cast("int") + 1, F.char_length(text))))
+        blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{MASKED}}}"), F.lit(0))
+        bound = F.array(F.struct(blocks.alias("blocks"), _merged(spans).alias("all")))
+        joined = F.transform(bound, lambda b: F.array_join(F.transform(b["blocks"], lambda x, i: cut(x, i.cast("long") * MASKED, b["all"])), ""))
+        return F.element_at(joined, 1)
 
     some = F.size("spans") > 0
     rows = rows.withColumn("_text", F.when(some, masked(F.col("text"), F.col("spans"))).otherwise(F.col("_doc")["text"]))

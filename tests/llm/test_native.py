@@ -1,5 +1,9 @@
 import hashlib
+import math
+import random
 import re
+import string
+import time
 
 from pyspark.sql import functions as F
 
@@ -59,6 +63,74 @@ def test_secret_redaction(spark):
     assert got == {1: ("é [SECRET] tail", 15, "kept", 9), 2: ("clean", 5, "kept", 9), 3: (None, None, "kept", 9)}
 
 
+def normal(z):
+    z = max(-8.0, min(8.0, z))
+    return 1 / (1 + math.exp(-1.5976 * z - 0.07056 * z**3))
+
+
+def brute_battery(value, alphabet, match):
+    """(p_random, p_text) straight from the definitions."""
+    x = [alphabet.index(c) for c in (value.lower() if alphabet == alphabet.lower() else value.translate(str.maketrans("-_", "+/")))]
+    n, size = len(x), len(alphabet)
+    chi, df = sum((x.count(a) - n / size) ** 2 / (n / size) for a in range(size)), size - 1
+    p_chi = max(1e-12, normal(-((max(chi, 0) / df) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df))))
+    up = [a >= size // 2 for a in x]
+    runs, high = 1 + sum(a != b for a, b in zip(up, up[1:])), sum(up)
+    expected = 2 * high * (n - high) / n + 1
+    spread = (expected - 1) * (expected - 2) / (n - 1)
+    p_runs = max(1e-12, 2 * normal(-abs((runs - expected) / math.sqrt(spread)))) if spread > 0 else 1e-12
+    mean = sum(x) / n
+    power = sum((a - mean) ** 2 for a in x)
+    serial = sum((a - mean) * (b - mean) for a, b in zip(x, x[1:])) / power if power else 0
+    p_serial = max(1e-12, 2 * normal(-abs((serial + 1 / n) * math.sqrt(n)))) if power else 1e-12
+    half = -(math.log(p_chi) + math.log(p_runs) + math.log(p_serial))
+    shift = n * (size * match - 1)
+    return math.exp(-half) * (1 + half + half * half / 2), normal((chi - df - shift) / math.sqrt(2 * df + 4 * shift))
+
+
+def brute_random(text, base, rate=0.05, keep=0.001):
+    """Spans that the battery adds, by testing every candidate and every threshold."""
+    found = sorted({m.span() for run in secrets.RUNS for m in re.finditer(run, text) if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])})
+    values = []
+    for a, b in found:
+        bare = text[a:b].rstrip("=")
+        name = next(((n, letters) for n, pattern, letters in secrets.ENCODINGS if re.search(pattern, bare)), None)
+        p_random, p_text = brute_battery(bare, name[1], secrets.TEXT_MATCH[name[0]]) if name else (0.0, 1.0)
+        values.append(1.0 if p_random < keep else p_text)
+    most = max((p for p in values if p <= rate * sum(q <= p for q in values) / len(values)), default=-1)
+    out = []
+    for (a, b), p in zip(found, values):
+        if p <= most and not any(x < b and a < y for x, y in base):
+            if out and a < out[-1][1]:
+                out[-1] = (out[-1][0], max(b, out[-1][1]))
+            else:
+                out.append((a, b))
+    return out
+
+
+def test_battery_equals_brute_force(spark):
+    draw = random.Random(8)
+    letters = string.ascii_letters + string.digits
+    key = lambda n, of: "".join(draw.choice(of) for _ in range(n))
+    kinds = [lambda: key(40, letters + "+/"), lambda: key(24, letters[:26] + letters[52:]), lambda: key(26, "0123456789abcdef"), lambda: key(32, letters[26:52] + "234567"), lambda: "some_long_identifier_name_2_with_words", lambda: "token=" + key(30, letters), lambda: "key-" + key(32, letters + "_-") + "==", lambda: "the words of 3 lines", lambda: "aB1" * 12, lambda: "AKIA" + key(16, letters[26:])]
+    rows = [(i, draw.choice(" \n,")[0].join(draw.choice(kinds)() for _ in range(draw.choice([1, 2, 5, 20])))) for i in range(60)]
+    for r in secrets.report(docs(spark, rows)).collect():
+        spans = [x.split(":") for x in r.spans.split(",") if x]
+        base = [(int(a), int(b)) for k, a, b in spans if k != "random"]
+        assert [(int(a), int(b)) for k, a, b in spans if k == "random"] == brute_random(rows[r.doc_id][1], base), rows[r.doc_id]
+
+
+def test_ten_thousand_candidates_of_one_text(spark):
+    draw = random.Random(2)
+    text = " ".join(("token=" if i % 2 else "") + "".join(draw.choice(string.ascii_letters + string.digits) for _ in range(32)) for i in range(10_000))
+    text += " " + "".join(draw.choice(string.ascii_letters + string.digits) for _ in range(100_000))
+    start = time.monotonic()
+    row = secrets.report(docs(spark, [(1, text)])).collect()[0]
+    hidden = secrets.redacted(docs(spark, [(1, text)])).collect()[0]
+    assert row.n_assign == 5000 and row.n_random > 4900 and time.monotonic() - start < 120
+    assert hidden.text.count("[SECRET]") == row.n_assign + row.n_random and hidden.n_chars == len(hidden.text)
+
+
 def brute_fingerprint(spark, texts, k, w, cut):
     tokens = [re.findall(rf"[^ \t\n\x0b\f\r]{{1,{cut}}}", t) for t in texts]
     flat = sorted({x for t in tokens for x in t})
