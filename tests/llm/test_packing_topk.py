@@ -15,7 +15,7 @@ def test_packing_round_trip(spark, sf_dir):
     from tokenizers import Tokenizer
 
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
-    rows += [r for r in ODD if r[0] is not None] + [(77_777, "special <|endoftext|> here"), (77_778, " " * 3000 + "x")]
+    rows += [r for r in ODD if r[0] is not None] + [(77_777, "special <|endoftext|> here"), (77_778, " " * 3000 + "x"), (77_779, " " * 1_200_000 + "y")]
     rows = list({i: (i, t) for i, t in rows}.values())
     files = queries.tokenizer_files()
     slow = Tokenizer.from_file(files["vocabulary"])
