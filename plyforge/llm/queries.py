@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from plyforge.llm import language, near_dup, packing, pieces, pitman_yor, secrets, topk, toxicity, url_filter, winnow
 from plyforge.llm.common import remainder
+from plyforge.llm.oracles import SQL
 
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
@@ -74,5 +75,28 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_topk(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 50 == 0, k=5, scale=256)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_winnowing, op2_secret_scan, op3_packing, op4_language_id, op5_pitman_yor, op6_sentencepiece, op7_url_reputation, op8_minhash_near_dup, op9_toxicity, op10_exact_topk)}
-SQL: dict[str, str] = {}
+def fingerprint_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op1 that SQL can express."""
+    return winnow.edit_report(_table(spark, sf_dir, "documents")).select("doc_id", "n_chars", "edited_sha256")
+
+
+def secret_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op2 that SQL can express."""
+    return secrets.report(_table(spark, sf_dir, "documents")).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
+
+
+def language_model_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op5 that SQL can express."""
+    scored = pitman_yor.score(_table(spark, sf_dir, "documents"), remainder(F.col("doc_id")) == 1, context="lang")
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 4).alias("base_score"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        op1_winnowing, op2_secret_scan, op3_packing, op4_language_id, op5_pitman_yor, op6_sentencepiece, op7_url_reputation, op8_minhash_near_dup, op9_toxicity, op10_exact_topk,
+        fingerprint_edits, secret_base, language_model_base,
+    )
+}
+
+__all__ = ["QUERIES", "RULES", "SQL", "tokenizer_files"]

@@ -9,7 +9,7 @@ without a rule is blocked when the lower posterior bound of its host's block rat
 ``threshold``.
 
 Null url or one without ``://``: host and path are empty, no rule fits, the suffix is empty, and the
-page is judged like any other host without labels. Repeated rows count as often as they occur. An
+page is judged like any other host without labels. A port belongs to the host, not to its domain; null and repeated ids are kept. Repeated rows count as often as they occur. An
 empty table gives an empty result. Other columns are ignored.
 
 Skew: statistics are partial aggregates. Hosts that hold over ``hot`` of all pages are joined by
@@ -26,6 +26,13 @@ from pyspark.sql import functions as F
 from plyforge.llm.common import ascii_lower, written
 
 Rule = tuple[str, str, str]
+# Public suffixes of two labels under which names are registered.
+TWO_LABEL_SUFFIXES = (
+    "ac.jp", "ac.uk", "co.id", "co.il", "co.in", "co.jp", "co.ke", "co.kr", "co.nz", "co.th", "co.uk", "co.za", "com.ar", "com.au", "com.br", "com.cn", "com.co", "com.eg", "com.hk", "com.mx",
+    "com.my", "com.ng", "com.pe", "com.ph", "com.pk", "com.pl", "com.sa", "com.sg", "com.tr", "com.tw", "com.ua", "com.vn", "edu.au", "edu.cn", "go.jp", "gob.mx", "gov.au", "gov.br", "gov.cn",
+    "gov.in", "gov.uk", "ltd.uk", "ne.jp", "net.au", "net.br", "net.cn", "net.in", "net.nz", "net.uk", "or.jp", "or.kr", "org.au", "org.br", "org.cn", "org.in", "org.mx", "org.nz", "org.uk", "org.za",
+)
+IP = r"^([0-9]{1,3}\.){3}[0-9]{1,3}$|^\[.*\]$"
 LOW_K, HIGH_K = 0.5, 1000.0
 
 
@@ -37,6 +44,15 @@ def url_parts(url: Column) -> tuple[Column, Column]:
     return ascii_lower(F.regexp_extract(rest, r"^([^/?#]*)", 1)), F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
 
 
+def registered(host: Column) -> tuple[Column, Column]:
+    """(registered domain, suffix), without a port. An IP address is a domain of its own, and all of them share a suffix."""
+    bare = F.regexp_replace(host, ":[0-9]*$", "")
+    two = F.substring_index(bare, ".", -2)
+    long, ip = two.isin(*TWO_LABEL_SUFFIXES), bare.rlike(IP)
+    domain = F.when(ip, bare).when(long, F.substring_index(bare, ".", -3)).otherwise(two)
+    return domain, F.when(ip, F.lit("(ip)")).when(long, two).otherwise(F.substring_index(bare, ".", -1))
+
+
 def fitted_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     """struct(rule, verdict) of the longest rule that fits, else null."""
     out = None
@@ -93,14 +109,14 @@ def judge(pages: DataFrame, rules: Sequence[Rule], url_col: str = "url", id_col:
     parsed = pages.select(F.col(id_col), host.alias("host"), path.alias("path"))
     parsed = parsed.withColumn("fit", fitted_rule(F.col("host"), F.col("path"), rules))
     label = F.when(F.col("fit.verdict").isNotNull(), (F.col("fit.verdict") == "block").cast("int"))
-    domain = F.substring_index("host", ".", -2)
-    stats = reputation(parsed.select("host", domain.alias("domain"), F.substring_index("host", ".", -1).alias("suffix"), label.alias("bad")))
+    domain, suffix = registered(F.col("host"))
+    stats = reputation(parsed.select("host", domain.alias("domain"), suffix.alias("suffix"), label.alias("bad")))
     total = stats.agg(F.coalesce(F.sum("pages"), F.lit(0))).first()[0]
     big = stats.filter(F.col("pages") > hot * total).select("host", F.col("mean").alias("m1"), F.col("weight").alias("w1"))
     rest = stats.filter(F.col("pages") <= hot * total).select(F.col("host").alias("key"), F.col("mean").alias("m2"), F.col("weight").alias("w2"))
     parsed = parsed.join(F.broadcast(big), "host", "left")
-    # A page whose host is already resolved gets a key of its own, which no host has.
-    own = F.concat(F.lit("/"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+    # A page whose host is already resolved gets a key of its row's place, which no host has, so null and repeated ids spread too.
+    own = F.concat(F.lit("/"), F.xxhash64(F.monotonically_increasing_id()).cast("string"))
     parsed = parsed.withColumn("key", F.when(F.col("m1").isNull(), F.col("host")).otherwise(own)).join(rest, "key", "left")
     mean, weight = F.coalesce("m1", "m2"), F.coalesce("w1", "w2")
     low = mean - z * F.sqrt(mean * (1 - mean) / (weight + 1))

@@ -212,3 +212,17 @@ def test_url_reputation_shrinks(spark):
 
 def test_url_empty_table(spark):
     assert url_filter.judge(pages(spark, []), queries.RULES).collect() == []
+
+
+def test_registered_domains(spark):
+    want = {"a.b.co.uk": ("b.co.uk", "co.uk"), "10.0.0.1": ("10.0.0.1", "(ip)"), "www.x.com:8080": ("x.com", "com"), "co.uk": ("co.uk", "co.uk"), "[::1]:80": ("[::1]", "(ip)"), "": ("", ""), "localhost": ("localhost", "localhost"), "a.b.c.org": ("c.org", "org")}
+    rows = spark.createDataFrame([(h,) for h in want], "host string").select("host", *url_filter.registered(F.col("host"))).collect()
+    assert {r[0]: (r[1], r[2]) for r in rows} == want
+
+
+def test_url_repeated_and_null_ids_ties_and_extra_columns(spark):
+    urls = ["http://a.net/es/1", "http://a.net/en/1", "http://b.co.uk/1", None] * 30
+    rows = spark.createDataFrame([(None if i % 3 else i % 7, u, "own", "host", "r") for i, u in enumerate(urls)], "page_id long, url string, rule string, host string, key string")
+    got = url_filter.judge(rows, queries.RULES).collect()
+    assert sorted(r.host for r in got) == sorted(u.split("/")[2] if u else "" for u in urls)
+    assert {(r.host, r.path, r.rule) for r in got} == {("a.net", "/es/1", "net/es/"), ("a.net", "/en/1", None), ("b.co.uk", "/1", None), ("", "", None)}
