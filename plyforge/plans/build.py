@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import nullcontext
 from dataclasses import asdict, dataclass, field
 from datetime import date
 from typing import Any
@@ -16,6 +17,7 @@ from plyforge.functions.identity import sampled
 from plyforge.operators import checks, leakage
 from plyforge.sources import pgn
 from plyforge.sources.sinks import publish
+from plyforge.streaming.lock import WriterLock
 
 # Columns that tell the outcome or identity and are never features.
 FORBIDDEN = {"result", "final_result_label", "termination", "termination_label", "white_player_hash", "black_player_hash"}
@@ -40,16 +42,26 @@ def bronze_problems(tables: dict[str, DataFrame]) -> list[str]:
     return found
 
 
-def ingest(spark: SparkSession, paths: Sequence[str], root: str, archive_sha: str, month: str, key: bytes | None = None, max_games: int | None = None, strict: bool = False) -> dict[str, Any]:
-    """Parses an archive's shards, validates and publishes games, moves, positions and errors."""
+#: Bronze tables by month, and their order within.
+BY_MONTH = {"games": ["game_id"], "moves": ["game_id", "ply"], "ingestion_errors": ["game_id"]}
+
+
+def ingest(
+    spark: SparkSession, paths: Sequence[str], root: str, archive_sha: str, month: str, key: bytes | None = None, max_games: int | None = None, strict: bool = False, offset: int = 0, lock: str | None = None
+) -> dict[str, Any]:
+    """Parses an archive's shards, validates and publishes games, moves, positions and errors, the large ones by month.
+
+    Shards' names follow the archive's order; ``offset`` games of it stand before the first. ``lock``: a file on the driver's
+    machine that keeps other writers out."""
     rows = pgn.parsed(pgn.raw_games(spark, list(paths), max_games))
     rows = rows.persist()  # four tables come from one parse
     try:
         if strict and (n := rows.filter("error IS NOT NULL").count()):
             raise ValueError(f"{n} games were rejected")
-        identity = {"archive": archive_sha, "month": month, "schema": schemas.SCHEMA_VERSION, "max_games": max_games, "keyed": key is not None}
-        tables = {n: df.select(*[F.col(f.name).cast(f.dataType) for f in schemas.of(n)]) for n, df in pgn.records(rows, archive_sha, month, key=key).items()}
-        return publish(spark, root, identity, tables, bronze_problems)
+        identity = {"archive": archive_sha, "month": month, "schema": schemas.SCHEMA_VERSION, "max_games": max_games, "keyed": key is not None, "offset": offset, "shards": sorted(p.rpartition("/")[2] for p in paths)}
+        tables = {n: df.select(*[F.col(f.name).cast(f.dataType) for f in schemas.of(n)]) for n, df in pgn.records(rows, archive_sha, month, offset, key).items()}
+        with WriterLock(lock) if lock else nullcontext():
+            return publish(spark, root, identity, tables, bronze_problems, partitions={n: ("source_month", month, order) for n, order in BY_MONTH.items()})
     finally:
         rows.unpersist()
 

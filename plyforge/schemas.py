@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
-SCHEMA_VERSION = "1.1.0"
+SCHEMA_VERSION = "1.2.0"
 
 
 def _schema(required: str, optional: str = "") -> StructType:
@@ -15,7 +15,7 @@ def _schema(required: str, optional: str = "") -> StructType:
 
 
 GAMES = ("game_id string, source_game_index long, source_month string, result string, ply_count int", "played_date string, white_player_hash string, black_player_hash string, white_rating int, black_rating int, time_control_raw string, eco string, opening string, termination string")
-MOVES = ("game_id string, ply int, san string, played_move_uci string, pre_move_fen string, normalized_pre_move_fen string, position_id string, side_to_move string", "clock string")
+MOVES = ("game_id string, source_month string, ply int, san string, played_move_uci string, pre_move_fen string, normalized_pre_move_fen string, position_id string, side_to_move string", "clock string")
 POSITIONS = ("position_id string, normalized_fen string, occurrences long", "")
 ERRORS = ("game_id string, source_game_index long, source_month string, error_code string", "message string")
 TABLES = {"games": GAMES, "moves": MOVES, "positions": POSITIONS, "ingestion_errors": ERRORS}

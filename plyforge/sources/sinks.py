@@ -48,6 +48,9 @@ class Storage:
     def exists(self, name: str) -> bool:
         return self.fs.exists(self.path(name))
 
+    def exists_below(self, name: str, start: str) -> bool:
+        return any(f.getPath().getName().startswith(start) for f in self.fs.listStatus(self.path(name)))
+
     def rename(self, a: str, b: str) -> None:
         self.fs.mkdirs(self.path(b).getParent())
         if not self.fs.rename(self.path(a), self.path(b)):
@@ -81,9 +84,20 @@ def safe_name(name: str) -> str:
     return name
 
 
-def publish(spark: SparkSession, root: str, identity: dict[str, Any], tables: dict[str, DataFrame], validate: Callable[[dict[str, DataFrame]], list[str]], keep_failed: bool = True) -> dict[str, Any]:
+def contents(df: DataFrame) -> tuple[int, str]:
+    """Rows and a digest of all values, in any order, in one pass."""
+    columns = sorted(df.columns)
+    row = df.agg(F.count("*"), F.sum(F.xxhash64(*columns).cast("decimal(38,0)"))).first()
+    return row[0], str(row[1] or 0)
+
+
+def publish(
+    spark: SparkSession, root: str, identity: dict[str, Any], tables: dict[str, DataFrame], validate: Callable[[dict[str, DataFrame]], list[str]], keep_failed: bool = True,
+    partitions: dict[str, tuple[str, str, list[str]]] | None = None,
+) -> dict[str, Any]:
     """Writes ``tables`` under the SHA-256 of ``identity`` and returns the manifest.
 
+    ``partitions``: of some tables the partition column, its value where the table is empty, and the order within.
     The same identity again: the published manifest is checked and returned, nothing is written. A
     validation failure raises; the staged data stay with a failed manifest, or go.
     """
@@ -93,15 +107,25 @@ def publish(spark: SparkSession, root: str, identity: dict[str, Any], tables: di
         if manifest["identity"] != identity or not store.exists(f"{name}/_SUCCESS"):
             raise ValueError(f"{name} was published with another identity or not to its end")
         for table, count in manifest["counts"].items():
-            if spark.read.parquet(f"{root}/{name}/{safe_name(table)}").count() != count:
+            read = spark.read.schema(tables[table].schema) if table in tables else spark.read
+            if contents(read.parquet(f"{root}/{name}/{safe_name(table)}")) != (count, manifest["digests"][table]):
                 raise ValueError(f"{table} of {name} has changed since it was published")
         return manifest
     staging = f"staging/{name}"
     store.delete(staging)
     for table, df in tables.items():
-        df.write.option("compression", "zstd").parquet(f"{root}/{staging}/{safe_name(table)}")
+        path = f"{root}/{staging}/{safe_name(table)}"
+        if table not in (partitions or {}):
+            df.write.option("compression", "zstd").parquet(path)
+            continue
+        partition, value, order = partitions[table]
+        write_partitioned(df, path, partition, order)
+        if not store.exists_below(f"{staging}/{table}", f"{partition}="):
+            write_empty_part(spark, df, path, partition, value)
     written = {t: spark.read.schema(df.schema).parquet(f"{root}/{staging}/{t}") for t, df in tables.items()}
-    manifest = {"dataset_id": name, "identity": identity, "counts": {t: df.count() for t, df in written.items()}, "status": "complete"}
+    manifest = {"dataset_id": name, "identity": identity, "counts": {}, "digests": {}, "status": "complete"}
+    for table, df in written.items():
+        manifest["counts"][table], manifest["digests"][table] = contents(df)
     problems = validate(written)
     if problems:
         if keep_failed:
