@@ -131,17 +131,27 @@ def test_ten_thousand_candidates_of_one_text(spark):
     assert hidden.text.count("[SECRET]") == row.n_assign + row.n_random and hidden.n_chars == len(hidden.text)
 
 
+def brute_tokens(text, cut):
+    out = []
+    for run in re.findall(r"[^ \t\n\x0b\f\r]+", text):
+        out += [run] if len(run) <= cut else [run[i : i + cut] for i in range(len(run))]
+    return out
+
+
 def brute_fingerprint(spark, texts, k, w, cut):
-    tokens = [re.findall(rf"[^ \t\n\x0b\f\r]{{1,{cut}}}", t) for t in texts]
+    """Hashes that roll from place to place, and a scan of every window."""
+    tokens = [brute_tokens(t, cut) for t in texts]
     flat = sorted({x for t in tokens for x in t})
-    one = {r.t: r.h for r in spark.createDataFrame([(x,) for x in flat], "t string").select("t", F.xxhash64("t").alias("h")).collect()}
-    runs = [[tuple(one[x] for x in t[i : i + k]) + (None,) * (k - len(t[i : i + k])) for i in range(max(len(t) - k + 1, min(len(t), 1)))] for t in tokens]
-    known = sorted({r for rs in runs for r in rs}, key=str)
-    cols = [f"c{j}" for j in range(k)]
-    hashed = {tuple(r[:k]): r.h for r in spark.createDataFrame(known, ", ".join(f"{c} long" for c in cols)).select(*cols, F.xxhash64(*cols).alias("h")).collect()}
+    one = {r.t: r.h % winnow.PRIME for r in spark.createDataFrame([(x,) for x in flat], "t string").select("t", F.xxhash64("t").alias("h")).collect()}
     out = []
-    for rs in runs:
-        hs, picks = [((hashed[r] & (2**64 - 1)) >> 29) & (2**35 - 1) for r in rs], []
+    for t in tokens:
+        hs, picks, value = [], [], 0
+        for i, x in enumerate(t):
+            if i >= k:
+                value -= one[t[i - k]] * pow(winnow.BASE, k - 1, winnow.PRIME)
+            value = (value * winnow.BASE + one[x]) % winnow.PRIME
+            if i >= k - 1 or i == len(t) - 1:
+                hs.append(value)
         for i in range(max(len(hs) - w + 1, min(len(hs), 1))):
             window = hs[i : i + w]
             at = max(j for j, x in enumerate(window) if x == min(window)) + i
@@ -182,6 +192,27 @@ def test_winnowing_empty_table(spark):
     assert winnow.edit_report(docs(spark, [])).collect() == []
 
 
+def test_winnowing_unspaced_text_is_aligned_by_content(spark):
+    draw = random.Random(6)
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "".join(chr(0x4E00 + i) for i in range(400))):
+        text = "".join(draw.choice(letters) for _ in range(600))
+        rows = [(1, text), (2, letters[0] + text), (3, "other " + text[100:500])]
+        sets = {r.doc_id: set(r.s) for r in winnow.fingerprints(docs(spark, rows)).select("doc_id", winnow.hash_set(F.col("chosen")).alias("s")).collect()}
+        assert len(sets[1] & sets[2]) > 0.9 * len(sets[1]) and len(sets[3] & sets[1]) > 0.9 * len(sets[3])
+
+
+def test_next_document_where_ids_are_skewed(spark):
+    rows = [(i, f"text {i}") for i in range(300)] + [(2**62, "far"), (7, "again"), *((50, f"same {i}") for i in range(300)), *((None, f"none {i}") for i in range(200))]
+    df = docs(spark, rows).select("doc_id", "text")
+    got = winnow.with_next(df, ["text"], ranges=16)
+    slots = [r["count"] for r in got.filter("NOT guest").groupBy("slot").count().collect()]
+    assert max(slots) < 200 and sum(slots) == len(rows)
+    tie = {r.text: r.h for r in df.select("text", F.xxhash64("text").alias("h")).collect()}
+    ordered = [t for _, t in sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), -tie[r[1]]))]
+    want = dict(zip(ordered, [*ordered[1:], ordered[0]], strict=True))
+    assert {r.text: r.next_text for r in got.filter("NOT guest").collect()} == want
+
+
 def test_winnowing_guarantee(spark):
     shared = "alpha beta gamma delta epsilon zeta"  # w + k - 1 tokens
     rows = [(1, f"one two three {shared} four"), (2, f"{shared} other words follow here now")]
