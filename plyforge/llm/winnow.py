@@ -124,8 +124,8 @@ def with_next(docs: DataFrame, columns: list[str], ranges: int | None = None) ->
     Ties follow the text's hash.
     """
     spark = docs.sparkSession
-    ranges = ranges or max(1024, 8 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    bounds = quantile_bounds(docs, ranges, 16 * ranges)
+    ranges = ranges or max(4096, 16 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    bounds = quantile_bounds(docs, ranges, 4 * ranges)
     tie = F.xxhash64("text")
     share = lambda n: F.floor(F.shiftrightunsigned(tie.bitwiseXOR(F.lit(-(2**63))), 33) * n / F.lit(2**31)).cast("long")  # noqa: E731 - 0 to n - 1, ascending with the hash
     below, equal = slot_of(bounds) if bounds else (F.lit(0), F.lit(1))
