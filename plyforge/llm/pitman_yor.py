@@ -9,10 +9,13 @@ parents. So letters are learned from types, and frequent words from tokens. Each
 restaurant of its own (discount 0) below its context's, so that it predicts its own repetitions. A text's
 context isn't given to scoring: its probability is the mixture over contexts, weighted by their training texts.
 
-Seating in the letters' restaurants is sampled by Gibbs: every dish's customers in a restaurant leave and sit
-down again given all others' seats, level by level; tables are the customers of the level above. The words'
-restaurants are seated in a single pass a sample, from one table a dish, without sweeps. Several samples
-give predictive probabilities, whose mean scores the tokens. No restaurant knows the words before.
+Seating is sampled by Gibbs at every level: a dish's customers in a restaurant leave and sit down again given all
+others' seats; tables are the customers of the level above, and the tables of the words' parent are what the
+letters' restaurants are told. Up to 32 customers of a dish are seated by an exact draw; the rest of a
+larger party follows one by one and in growing groups. Words meet only in their restaurants' totals, so tasks sweep
+their words side by side, several times a round; after each round the totals and the letters are renewed. Independent
+chains give one state each, after all earlier sweeps as burn-in; the mean of their predictive probabilities
+scores the tokens. No restaurant knows the words before.
 
 Contexts see the 62 most frequent letters singly (a boundary and one class for all others make
 64), the fourth letter in 8 classes; 1022 letters are dishes of their own. So the letters' model has a
@@ -30,6 +33,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -44,6 +48,8 @@ DISH_BITS, LETTERS, BUCKETS, COARSE = 10, 1022, 64, 8
 FAN = (BUCKETS, BUCKETS, BUCKETS, COARSE)
 END, OTHER, CODE_POINTS = 0, 1, 0x110000
 FLUSH = 400_000
+#: Up to so many customers of a dish are seated by an exact draw, in chunks of so many dishes.
+EXACT, CHUNK = 32, 1 << 16
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -113,20 +119,47 @@ class Spelling:
         return (context << DISH_BITS) | symbol, word
 
 
-def seat(c: np.ndarray, a: np.ndarray, d: float, uniform) -> np.ndarray:
-    """Tables after ``c`` customers of a dish sat down one by one; ``a``: the weight of a new table.
+@lru_cache(maxsize=64)
+def stirling(d: float) -> np.ndarray:
+    """Logs of generalized Stirling numbers [customers, tables]: the seatings of so many customers at so many
+    tables, each weighted by what its tables' sizes contribute under discount ``d``."""
+    out = np.zeros((EXACT + 1, EXACT + 1))
+    out[1, 1] = 1.0
+    for n in range(1, EXACT):
+        out[n + 1, 1:] = out[n, :-1] + (n - d * np.arange(1, EXACT + 1)) * out[n, 1:]
+    with np.errstate(divide="ignore"):
+        return np.log(np.maximum(out, 0.0))
 
-    ``uniform(active, step)`` gives random numbers. After 32 customers they come in growing
-    parties, which open their expected number of tables, randomly rounded.
+
+def seat(c: np.ndarray, a: np.ndarray, d: float, uniform, step: np.ndarray | float = 0.0) -> np.ndarray:
+    """Tables of ``c`` customers of a dish who all left and sit down again.
+
+    ``a``: the weight of a second table once there is a first, growing by ``step`` with each table.
+    The first 32 customers' tables are drawn exactly; the others come one by one, then in
+    growing parties which open their expected number of tables, randomly rounded.
+    ``uniform(active, step)`` gives random numbers.
     """
-    t = np.minimum(c, 1).astype(np.float64)
-    done, step = np.minimum(c, 1).astype(np.float64), 0
-    active = np.flatnonzero(c > 1)
+    t, first = np.minimum(c, 1).astype(np.float64), np.minimum(c, EXACT)
+    step = np.broadcast_to(np.asarray(step, dtype=np.float64), np.shape(c))
+    width = 2
+    while width <= EXACT:
+        rows = np.flatnonzero((first > width // 2) & (first <= width))
+        for at in np.array_split(rows, len(rows) // CHUNK + 1):
+            if len(at):
+                logs = stirling(d)[first[at].astype(np.int64), 1 : width + 1]
+                weight = np.maximum(a[at, None] + step[at, None] * np.arange(width - 1), 1e-300)
+                logs[:, 1:] += np.cumsum(np.log(weight), axis=1)
+                p = np.cumsum(np.exp(logs - logs.max(axis=1, keepdims=True)), axis=1)
+                t[at] = 1.0 + (p < (uniform(at, 0) * p[:, -1])[:, None]).sum(axis=1)
+        width *= 2
+    done, turn = first.astype(np.float64), 0
+    active = np.flatnonzero(c > EXACT)
     while len(active):
-        step += 1
+        turn += 1
         party = np.minimum(np.maximum(1.0, np.floor(done[active] / 16)), c[active] - done[active])
-        p = a[active] / (a[active] + done[active] - d * t[active])
-        t[active] += np.minimum(party, np.floor(party * p + uniform(active, step)))
+        weight = a[active] + step[active] * (t[active] - 1)
+        opened = np.floor(party * (weight / (weight + done[active] - d * t[active])) + uniform(active, turn))
+        t[active] += np.minimum(party, opened)
         done[active] += party
         active = active[done[active] < c[active]]
     return t
@@ -157,6 +190,15 @@ class Letters:
         out.cells, out.direct, out.rooms, out.back = state[2:]
         return out
 
+    @staticmethod
+    def joined(chains: list["Letters"]) -> "Letters":
+        """The samples of chains over the same cells side by side."""
+        out = Letters(chains[0].size, sum(x.samples for x in chains))
+        out.cells, out.rooms = chains[0].cells, chains[0].rooms
+        out.direct = [np.concatenate(x, axis=1) for x in zip(*(x.direct for x in chains), strict=True)]
+        out.back = [np.concatenate(x, axis=1) for x in zip(*(x.back for x in chains), strict=True)]
+        return out
+
     def grams(self, keys: np.ndarray) -> np.ndarray:
         """Predictive probabilities [key, sample] of dishes in their contexts."""
         dish, context = keys & ((1 << DISH_BITS) - 1), keys >> DISH_BITS
@@ -219,7 +261,7 @@ def sample_letters(keys: np.ndarray, counts: np.ndarray, size: int, sweeps: int
                 p = direct + back[of[j]] * (p if j == 0 else p[up[j]])
             base = p if k == 0 else p[up[k]]
             tables = np.bincount(of[k], t[k], minlength=len(rooms[k]))[of[k]] - t[k]
-            t[k] = seat(c[k], (strength + d[k] * (tables + 1)) * base, d[k], lambda active, _: rng.random(len(active)))
+            t[k] = seat(c[k], (strength + d[k] * (tables + 1)) * base, d[k], lambda active, _: rng.random(len(active)), d[k] * base)
             if k:
                 c[k - 1] = np.bincount(up[k], t[k], minlength=len(cells[k - 1]))
         if sweep >= sweeps - samples:
@@ -232,10 +274,8 @@ def sample_letters(keys: np.ndarray, counts: np.ndarray, size: int, sweeps: int
     return out
 
 
-def fit_letters(words: DataFrame, samples: int) -> tuple[list[int], Letters]:
-    """(alphabet, model) from the types in ``words`` (word, counts)."""
-    spark = words.sparkSession
-    types = words.filter(F.greatest(*[F.col(c) for c in words.columns[1:]], F.lit(0)) > 0).select("word")
+def fit_alphabet(words: DataFrame, counts: list[str]) -> list[int]:
+    """The most frequent letters of the words of training texts, as code points."""
 
     def points(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: Counter = Counter()
@@ -244,22 +284,35 @@ def fit_letters(words: DataFrame, samples: int) -> tuple[list[int], Letters]:
             total.update(dict(zip(found.tolist(), n.tolist(), strict=True)))
         yield pd.DataFrame(list(total.items()), columns=["point", "n"], dtype="int64")
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
-    top = types.mapInPandas(points, "point long, n long").groupBy("point").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "point").limit(LETTERS).collect()
-    alphabet = [r["point"] for r in top]
+    words.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
+    found = _trained(words, counts).select("word").mapInPandas(points, "point long, n long").groupBy("point").agg(F.sum("n").alias("n"))
+    return [r["point"] for r in found.orderBy(F.desc("n"), "point").limit(LETTERS).collect()]
+
+
+def fit_letters(words: DataFrame, counts: list[str], alphabet: list[int], customers: list[str]) -> Letters:
+    """One chain of letters for each column of ``customers``: how many tables of the words' parent serve a
+    word, each of which is spelled once."""
 
     def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         spelling, total = Spelling(alphabet), None
         for batch in batches:
             if len(batch):
-                part = pd.Series(1, index=spelling.keys(batch["word"].tolist())[0]).groupby(level=0).sum()
+                keys, word = spelling.keys(batch["word"].tolist())
+                part = pd.DataFrame(batch[customers].to_numpy(dtype=np.int64)[word], index=keys).groupby(level=0).sum()
                 total = part if total is None else total.add(part, fill_value=0)
         if total is not None:
-            yield pd.DataFrame({"key": total.index.to_numpy(dtype=np.int64), "n": total.to_numpy(dtype=np.int64)})
+            out = pd.DataFrame(total.to_numpy(dtype=np.int64), columns=customers)
+            out.insert(0, "key", total.index.to_numpy(dtype=np.int64))
+            yield out
+
+    rows = _trained(words, counts).select("word", *customers).mapInPandas(grams, "key long, " + ", ".join(f"{x} long" for x in customers))
+    got = rows.groupBy("key").agg(*[F.sum(x).alias(x) for x in customers]).orderBy("key").toPandas()
+    keys = got["key"].to_numpy(dtype=np.int64)
+    return Letters.joined([sample_letters(keys, got[x].to_numpy(dtype=np.int64), len(alphabet) + 2, samples=1, seed=11 + s) for s, x in enumerate(customers)])
 
-    got = types.mapInPandas(grams, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).orderBy("key").toPandas()
-    model = sample_letters(got["key"].to_numpy(dtype=np.int64), got["n"].to_numpy(dtype=np.int64), len(alphabet) + 2, samples=samples)
-    return alphabet, model
+
+def _trained(words: DataFrame, counts: list[str]) -> DataFrame:
+    return words.filter(F.greatest(*[F.col(c) for c in counts], F.lit(0)) > 0)
 
 
 class Sizes:
@@ -270,6 +323,10 @@ class Sizes:
         self.customers, self.parents = np.array(parent_customers, dtype=float), np.array(parent_tables, dtype=float)
         self.d, self.strength = d, strength
 
+    def others(self, s: int, t: np.ndarray, up: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What sample ``s`` holds of all other words: tables by context, the parent's customers and tables."""
+        return self.tables[:, s] - t, self.customers[s] - t.sum(axis=1), self.parents[s] - up
+
     def parent(self, customers: np.ndarray, tables: np.ndarray, spelled: np.ndarray) -> np.ndarray:
         """Predictive probabilities in the parent, [word, sample]."""
         d, total = self.d[0], self.customers + self.strength
@@ -285,12 +342,19 @@ def seat_columns(contexts: int, samples: int) -> list[str]:
     return [*(f"t{z}_{s}" for z in range(contexts) for s in range(samples)), *(f"up{s}" for s in range(samples))]
 
 
-def seated_words(words: DataFrame, alphabet: list[int], model: Letters, sizes: tuple, samples: int, seed: int = 7) -> DataFrame:
-    """Adds spelling probabilities p<sample>, sampled tables t<context>_<sample> and the parent's
-    up<sample>. ``sizes``: Sizes' values when every word has one table in each of its contexts."""
+def first_seats(words: DataFrame, contexts: int, samples: int) -> DataFrame:
+    """Where every chain begins: one table in each context that has the word, and one in the parent."""
+    c = [F.col(f"c{z}") for z in range(contexts)]
+    one = lambda x: F.when(x > 0, F.lit(1)).otherwise(F.lit(0)).cast("long")
+    seats = [one(c[z]).alias(f"t{z}_{s}") for z in range(contexts) for s in range(samples)]
+    return words.select("*", *seats, *[one(F.greatest(*c, F.lit(0))).alias(f"up{s}") for s in range(samples)])
+
+
+def swept_words(words: DataFrame, alphabet: list[int], model: Letters, sizes: tuple, contexts: int, samples: int, sweeps: int, seed: int) -> DataFrame:
+    """``words`` with its tables t<context>_<sample> and up<sample> after ``sweeps`` more sweeps, and the
+    spelling probabilities p<sample>. ``sizes``: Sizes' values of all seats as they are in ``words``."""
     shared = words.sparkSession.sparkContext.broadcast((alphabet, model.state()))
-    counts = words.columns[1:]
-    tables = seat_columns(len(counts), samples)
+    counts, tables = [f"c{z}" for z in range(contexts)], seat_columns(contexts, samples)
 
     def sit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         alphabet, model = shared.value[0], Letters.of(shared.value[1])
@@ -299,26 +363,37 @@ def seated_words(words: DataFrame, alphabet: list[int], model: Letters, sizes: t
             if not len(batch):
                 continue
             listed, c = batch["word"].tolist(), batch[counts].to_numpy(dtype=np.float64)
+            seats = batch[tables].to_numpy(dtype=np.float64)
+            t, up = seats[:, : contexts * samples].reshape(*c.shape, samples), seats[:, contexts * samples :]
             p = model.words(spelling, listed)
             # Random numbers come from the word, so a task that runs again seats alike.
             roots = np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), seed) for w in listed), dtype=np.uint64, count=len(listed))
-            first = np.minimum(c, 1.0).sum(axis=1)[:, None]
-            above = size.parent(first, np.minimum(first, 1.0), p)
-            t, up = np.zeros((*c.shape, samples)), np.zeros((len(c), samples))
             for s in range(samples):
-                for z in range(c.shape[1]):
-                    draw = lambda active, step, at=z * samples + s: _uniform(roots[active] + np.uint64(step * 4096 + at))
-                    t[:, z, s] = seat(c[:, z], (size.strength + size.d[1] * size.tables[z, 0]) * above[:, s], size.d[1], draw)
-                draw = lambda active, step, s=s: _uniform(roots[active] + np.uint64(step * 4096 + 4095 - s))
-                up[:, s] = seat(t[:, :, s].sum(axis=1), (size.strength + size.d[0] * size.parents) * p[:, s], size.d[0], draw)
+                numbers = lambda at, s=s: lambda active, step: _uniform(roots[active] + np.uint64(((step * sweeps + sweep) * samples + s) * 64 + at))  # noqa: B023, E731
+                others = size.others(s, t[:, :, s], up[:, s])
+                for sweep in range(sweeps):
+                    t[:, :, s], up[:, s] = sweep_once(c, t[:, :, s], up[:, s], p[:, s], others, size, numbers)
             spelled = pd.DataFrame(p, columns=[f"p{s}" for s in range(samples)])
-            seats = pd.DataFrame(np.hstack([t.reshape(len(c), -1), up]).astype(np.int64), columns=tables)
-            yield pd.concat([batch.reset_index(drop=True), spelled, seats], axis=1)
+            seated = pd.DataFrame(np.hstack([t.reshape(len(c), -1), up]).astype(np.int64), columns=tables)
+            yield pd.concat([batch[["word", *counts]].reset_index(drop=True), spelled, seated], axis=1)
 
     fields = ["word string", *(f"{c} long" for c in counts), *(f"p{s} double" for s in range(samples)), *(f"{t} long" for t in tables)]
     return words.mapInPandas(sit, ", ".join(fields))
 
 
+def sweep_once(c: np.ndarray, t: np.ndarray, up: np.ndarray, p: np.ndarray, others: tuple, size: Sizes, numbers) -> tuple[np.ndarray, np.ndarray]:
+    """One Gibbs sweep over words (rows): in each context the word's customers leave and sit down again given all
+    other seats, whose tables take their customers along from the parent; then those in the parent."""
+    t, (rooms, customers, parents), d, strength = t.copy(), others, size.d, size.strength
+    for z in range(c.shape[1]):
+        rest = t.sum(axis=1) - t[:, z]
+        served = np.where(rest > 0, np.minimum(up, rest), 1.0)
+        new = (strength + d[1] * (rooms[:, z] + 1)) / (customers + rest + 1 + strength)
+        spelled = (strength + d[0] * (parents + served)) * p
+        t[:, z] = seat(c[:, z], new * (np.maximum(rest + 1 - d[0] * served, 0.0) + spelled), d[1], numbers(z), new)
+    return t, seat(t.sum(axis=1), (strength + d[0] * (parents + 1)) * p, d[0], numbers(63), d[0] * p)
+
+
 def priced_words(seated: DataFrame, sizes: tuple, contexts: int, samples: int) -> DataFrame:
     """(word, c, f<context>): the count in training texts and the mean predictive probability over
     the samples."""
@@ -383,11 +458,12 @@ def _discount(ones: int | None, twos: int | None) -> float:
     return min(0.95, max(0.1, ones / (ones + 2 * twos))) if ones or twos else 0.5
 
 
-def score(docs: DataFrame, held_out: Column, context: str | None = None, most_contexts: int = 15, head: int = 60_000, samples: int = 3, strength: float = 1.0, own: float = 3000.0) -> DataFrame:
+def score(docs: DataFrame, held_out: Column, context: str | None = None, most_contexts: int = 15, head: int = 60_000, samples: int = 3, rounds: int = 2, sweeps: int = 4, strength: float = 1.0, own: float = 3000.0) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of ``docs``.
 
     ``context``: a column whose ``most_contexts`` most frequent values in training texts get restaurants of
     their own; other values, and nulls, share one. ``own``: the strength of a text's restaurant.
+    Each of ``samples`` chains makes ``rounds`` times ``sweeps`` sweeps and gives its last state.
     """
     spark = docs.sparkSession
     value = F.col(context).cast("string") if context else F.lit(None).cast("string")
@@ -411,11 +487,15 @@ def score(docs: DataFrame, held_out: Column, context: str | None = None, most_co
     got = words.agg(*[number(x) for x in c], *[number(is_(x > 0, True)) for x in c], number(rooms), number(is_(total > 0, True)), number(is_(rooms, 1)), number(is_(rooms, 2)), number(sum((is_(x, 1) for x in c[1:]), is_(c[0], 1))), number(sum((is_(x, 2) for x in c[1:]), is_(c[0], 2)))).first()
     tokens_, tables, (customers, types, p1, p2, k1, k2) = list(got[:contexts]), list(got[contexts : 2 * contexts]), got[2 * contexts :]
     n, d = sum(tokens_), (_discount(p1, p2), _discount(k1, k2))
-    alphabet, model = fit_letters(words, samples)
-    seated = written(seated_words(words, alphabet, model, (tokens_, [[x] for x in tables], customers, types, d, strength), samples), "seated")
-    sat = seated.agg(*[number(F.col(x)) for x in seat_columns(contexts, samples)]).first()
-    t = np.array(sat[: contexts * samples], dtype=float).reshape(contexts, samples)
-    sizes = (tokens_, t.tolist(), t.sum(axis=0).tolist(), list(sat[contexts * samples :]), d, strength)
+    columns, ups = [f"c{z}" for z in range(contexts)], [f"up{s}" for s in range(samples)]
+    alphabet, seated = fit_alphabet(words, columns), first_seats(words, contexts, samples)
+    sizes = (tokens_, [[x] * samples for x in tables], [customers] * samples, [types] * samples, d, strength)
+    for turn in range(rounds):
+        model = fit_letters(seated, columns, alphabet, ups)
+        seated = written(swept_words(seated, alphabet, model, sizes, contexts, samples, sweeps, 7 + turn), "seated")
+        sat = seated.agg(*[number(F.col(x)) for x in seat_columns(contexts, samples)]).first()
+        t = np.array(sat[: contexts * samples], dtype=float).reshape(contexts, samples)
+        sizes = (tokens_, t.tolist(), t.sum(axis=0).tolist(), list(sat[contexts * samples :]), d, strength)
     priced = written(priced_words(seated, sizes, contexts, samples), "priced")
 
     base = lambda count: F.log10((count + 0.5) / (n + 0.5 * (types + 1)))
