@@ -289,9 +289,11 @@ def fit_alphabet(words: DataFrame, counts: list[str]) -> list[int]:
     return [r["point"] for r in found.orderBy(F.desc("n"), "point").limit(LETTERS).collect()]
 
 
-def fit_letters(words: DataFrame, counts: list[str], alphabet: list[int], customers: list[str]) -> Letters:
-    """One chain of letters for each column of ``customers``: how many tables of the words' parent serve a
-    word, each of which is spelled once."""
+def fit_letters(words: DataFrame, counts: list[str], alphabet: list[int], samples: int, seated: bool) -> Letters:
+    """Letters, which words' tables in their parent ask for: a chain for each sample of up<sample>, or, before
+    words are ``seated`` and all have one table, a single chain that gives all samples."""
+    customers = [f"up{s}" for s in range(samples)] if seated else ["up0"]
+    words = words if seated else words.withColumn("up0", F.lit(1))
 
     def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         spelling, total = Spelling(alphabet), None
@@ -308,7 +310,8 @@ def fit_letters(words: DataFrame, counts: list[str], alphabet: list[int], custom
     rows = _trained(words, counts).select("word", *customers).mapInPandas(grams, "key long, " + ", ".join(f"{x} long" for x in customers))
     got = rows.groupBy("key").agg(*[F.sum(x).alias(x) for x in customers]).orderBy("key").toPandas()
     keys = got["key"].to_numpy(dtype=np.int64)
-    return Letters.joined([sample_letters(keys, got[x].to_numpy(dtype=np.int64), len(alphabet) + 2, samples=1, seed=11 + s) for s, x in enumerate(customers)])
+    each = 1 if seated else samples
+    return Letters.joined([sample_letters(keys, got[x].to_numpy(dtype=np.int64), len(alphabet) + 2, samples=each, seed=11 + s) for s, x in enumerate(customers)])
 
 
 def _trained(words: DataFrame, counts: list[str]) -> DataFrame:
@@ -342,19 +345,13 @@ def seat_columns(contexts: int, samples: int) -> list[str]:
     return [*(f"t{z}_{s}" for z in range(contexts) for s in range(samples)), *(f"up{s}" for s in range(samples))]
 
 
-def first_seats(words: DataFrame, contexts: int, samples: int) -> DataFrame:
-    """Where every chain begins: one table in each context that has the word, and one in the parent."""
-    c = [F.col(f"c{z}") for z in range(contexts)]
-    one = lambda x: F.when(x > 0, F.lit(1)).otherwise(F.lit(0)).cast("long")
-    seats = [one(c[z]).alias(f"t{z}_{s}") for z in range(contexts) for s in range(samples)]
-    return words.select("*", *seats, *[one(F.greatest(*c, F.lit(0))).alias(f"up{s}") for s in range(samples)])
-
-
-def swept_words(words: DataFrame, alphabet: list[int], model: Letters, sizes: tuple, contexts: int, samples: int, sweeps: int, seed: int) -> DataFrame:
-    """``words`` with its tables t<context>_<sample> and up<sample> after ``sweeps`` more sweeps, and the
-    spelling probabilities p<sample>. ``sizes``: Sizes' values of all seats as they are in ``words``."""
+def swept_words(words: DataFrame, alphabet: list[int], model: Letters, sizes: tuple, contexts: int, samples: int, sweeps: int, seed: int, last: bool) -> DataFrame:
+    """``words`` with its tables t<context>_<sample> and up<sample> after ``sweeps`` more sweeps, and, the ``last``
+    time, spelling probabilities p<sample>. Without tables in ``words`` each word begins with one in each of its
+    contexts and in the parent. ``sizes``: Sizes' values of all seats as they are in ``words``."""
     shared = words.sparkSession.sparkContext.broadcast((alphabet, model.state()))
     counts, tables = [f"c{z}" for z in range(contexts)], seat_columns(contexts, samples)
+    begun = tables[0] in words.columns
 
     def sit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         alphabet, model = shared.value[0], Letters.of(shared.value[1])
@@ -363,21 +360,31 @@ def swept_words(words: DataFrame, alphabet: list[int], model: Letters, sizes: tu
             if not len(batch):
                 continue
             listed, c = batch["word"].tolist(), batch[counts].to_numpy(dtype=np.float64)
-            seats = batch[tables].to_numpy(dtype=np.float64)
-            t, up = seats[:, : contexts * samples].reshape(*c.shape, samples), seats[:, contexts * samples :]
-            p = model.words(spelling, listed)
+            if begun:
+                seats = batch[tables].to_numpy(dtype=np.float64)
+                t, up = seats[:, : contexts * samples].reshape(*c.shape, samples), seats[:, contexts * samples :]
+            else:
+                t = np.repeat(np.minimum(c, 1.0)[:, :, None], samples, axis=2)
+                up = t.max(axis=1)
+            # A single customer has no choice, so words that have but one stay as they are.
+            busy = np.flatnonzero(c.sum(axis=1) > 1)
+            p = model.words(spelling, listed if last else [listed[i] for i in busy])
             # Random numbers come from the word, so a task that runs again seats alike.
-            roots = np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), seed) for w in listed), dtype=np.uint64, count=len(listed))
+            roots = np.fromiter((xxhash.xxh64_intdigest(listed[i].encode("utf-8", "surrogatepass"), seed) for i in busy), dtype=np.uint64, count=len(busy))
+            known = p[busy] if last else p
             for s in range(samples):
                 numbers = lambda at, s=s: lambda active, step: _uniform(roots[active] + np.uint64(((step * sweeps + sweep) * samples + s) * 64 + at))  # noqa: B023, E731
-                others = size.others(s, t[:, :, s], up[:, s])
+                now, above = t[busy, :, s], up[busy, s]
+                others = size.others(s, now, above)
                 for sweep in range(sweeps):
-                    t[:, :, s], up[:, s] = sweep_once(c, t[:, :, s], up[:, s], p[:, s], others, size, numbers)
-            spelled = pd.DataFrame(p, columns=[f"p{s}" for s in range(samples)])
+                    now, above = sweep_once(c[busy], now, above, known[:, s], others, size, numbers)
+                t[busy, :, s], up[busy, s] = now, above
             seated = pd.DataFrame(np.hstack([t.reshape(len(c), -1), up]).astype(np.int64), columns=tables)
-            yield pd.concat([batch[["word", *counts]].reset_index(drop=True), spelled, seated], axis=1)
+            parts = [batch[["word", *counts]].reset_index(drop=True), seated]
+            yield pd.concat([*parts, pd.DataFrame(p, columns=spelled)] if last else parts, axis=1)
 
-    fields = ["word string", *(f"{c} long" for c in counts), *(f"p{s} double" for s in range(samples)), *(f"{t} long" for t in tables)]
+    spelled = [f"p{s}" for s in range(samples)]
+    fields = ["word string", *(f"{x} long" for x in (*counts, *tables)), *(f"{x} double" for x in spelled if last)]
     return words.mapInPandas(sit, ", ".join(fields))
 
 
@@ -487,12 +494,12 @@ def score(docs: DataFrame, held_out: Column, context: str | None = None, most_co
     got = words.agg(*[number(x) for x in c], *[number(is_(x > 0, True)) for x in c], number(rooms), number(is_(total > 0, True)), number(is_(rooms, 1)), number(is_(rooms, 2)), number(sum((is_(x, 1) for x in c[1:]), is_(c[0], 1))), number(sum((is_(x, 2) for x in c[1:]), is_(c[0], 2)))).first()
     tokens_, tables, (customers, types, p1, p2, k1, k2) = list(got[:contexts]), list(got[contexts : 2 * contexts]), got[2 * contexts :]
     n, d = sum(tokens_), (_discount(p1, p2), _discount(k1, k2))
-    columns, ups = [f"c{z}" for z in range(contexts)], [f"up{s}" for s in range(samples)]
-    alphabet, seated = fit_alphabet(words, columns), first_seats(words, contexts, samples)
+    columns = [f"c{z}" for z in range(contexts)]
+    alphabet, seated = fit_alphabet(words, columns), words
     sizes = (tokens_, [[x] * samples for x in tables], [customers] * samples, [types] * samples, d, strength)
     for turn in range(rounds):
-        model = fit_letters(seated, columns, alphabet, ups)
-        seated = written(swept_words(seated, alphabet, model, sizes, contexts, samples, sweeps, 7 + turn), "seated")
+        model = fit_letters(seated, columns, alphabet, samples, turn > 0)
+        seated = written(swept_words(seated, alphabet, model, sizes, contexts, samples, sweeps, 7 + turn, turn == rounds - 1), "seated")
         sat = seated.agg(*[number(F.col(x)) for x in seat_columns(contexts, samples)]).first()
         t = np.array(sat[: contexts * samples], dtype=float).reshape(contexts, samples)
         sizes = (tokens_, t.tolist(), t.sum(axis=0).tolist(), list(sat[contexts * samples :]), d, strength)
