@@ -34,6 +34,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import compress, repeat
 
 import numpy as np
 import pandas as pd
@@ -57,6 +58,11 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+def _read(words: list[bytes]) -> pd.Series:
+    """Words as strings, read at one go: none of them holds a line break."""
+    return pd.Series(b"\n".join(words).decode("utf-8", "replace").split("\n") if words else [], dtype=object)
+
+
 def word_counts(docs: DataFrame, contexts: int) -> DataFrame:
     """docs: train, z, text -> (word, c0, c1, ...): every word of all texts with its counts in the training texts
     of each context; the end token is ''."""
@@ -66,12 +72,13 @@ def word_counts(docs: DataFrame, contexts: int) -> DataFrame:
         other: set[bytes] = set()
 
         def flushed() -> pd.DataFrame:
-            rows = [(w, z, c) for z, counts in enumerate(known) for w, c in counts.items()]
-            rows += [(w, 0, 0) for w in other if not any(w in counts for counts in known)]
+            rest = other.difference(*known)
+            listed = [w for counts in known for w in counts] + list(rest)
+            z = np.repeat(np.arange(contexts + 1, dtype=np.int32) % contexts, [*map(len, known), len(rest)])
+            c = np.array([n for counts in known for n in counts.values()] + [0] * len(rest), dtype=np.int64)
             for x in (*known, other):
                 x.clear()
-            words = pd.Series([w.decode("utf-8", "replace") for w, _, _ in rows], dtype=object)
-            return pd.DataFrame({"word": words, "z": np.array([z for _, z, _ in rows], dtype=np.int32), "c": np.array([c for _, _, c in rows], dtype=np.int64)})
+            return pd.DataFrame({"word": _read(listed), "z": z, "c": c})
 
         for batch in batches:
             for train, z, text in zip(batch["train"], batch["z"], batch["text"], strict=True):
@@ -517,31 +524,30 @@ def score(docs: DataFrame, held_out: Column, context: str | None = None, most_co
         """A row per document for its head words, and a row per document and other word."""
         places, table = shared.value
         for batch in batches:
-            heads, starts, at, many, keys, rest, counts = [], [], [], [], [], [], []
+            heads, ids, many, names, sizes = [], [], [], [], []
             for key, doc, held, text in zip(batch["key"], batch["doc_id"], batch["held_out"], batch["text"], strict=True):
                 found = tokens(text)
                 found.append(b"")
-                starts.append(len(at))
-                for w, m in Counter(found).items():
-                    i = places.get(w)
-                    if i is None:
-                        keys.append(key)
-                        rest.append(w)
-                        counts.append(m)
-                    else:
-                        at.append(i)
-                        many.append(m)
+                counts = Counter(found)
+                ids.extend(map(places.get, counts, repeat(-1)))
+                many.extend(counts.values())
+                names.extend(counts)
+                sizes.append(len(counts))
                 # No word holds a line break, so this row meets no word and has a place of its own.
                 heads.append((key, f"\n{key}", 1, [None if pd.isna(doc) else int(doc), int(held), len(found)]))
             out = pd.DataFrame(heads, columns=["key", "word", "n", "facts"])
-            m, rows_ = np.array(many, dtype=float)[:, None], table[np.array(at, dtype=np.int64)]
+            ids, many, owner = np.array(ids, dtype=np.int64), np.array(many, dtype=np.int64), np.repeat(np.arange(len(heads)), sizes)
+            head = ids >= 0
+            m, rows_ = many[head].astype(float)[:, None], table[ids[head]]
+            each = np.bincount(owner[head], minlength=len(heads))
             parts = np.vstack([np.hstack([m * rows_[:, :2], rising(rows_[:, 2:], m)]), np.zeros((1, len(sums)))])
-            by_doc = np.add.reduceat(parts, starts, axis=0) if starts else parts[:0]
-            by_doc[np.diff([*starts, len(at)]) == 0] = 0.0
+            by_doc = np.add.reduceat(parts, np.cumsum(each) - each, axis=0) if len(heads) else parts[:0]
+            by_doc[each == 0] = 0.0
             by_doc[:, 2:] -= rising(np.full(len(heads), own), np.array([f[2] for f in out["facts"]], dtype=float))[:, None]
             yield out.assign(sums=list(by_doc))
-            if keys:
-                yield pd.DataFrame({"key": keys, "word": pd.Series([w.decode("utf-8", "replace") for w in rest], dtype=object), "n": counts, "facts": None, "sums": None})
+            if not head.all():
+                rest = list(compress(names, (~head).tolist()))
+                yield pd.DataFrame({"key": out["key"].to_numpy()[owner[~head]], "word": _read(rest), "n": many[~head], "facts": None, "sums": None})
 
     small_batches(spark)
     fields = "key long, word string, n long, facts array<long>, sums array<double>"
