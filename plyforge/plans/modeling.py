@@ -44,12 +44,16 @@ def neg_sampling(spark, d):
     return leakage.hash_ordered(examples(spark, d).select("game_id", "position_id").distinct(), "game_id", "position_id", "neg", 2)
 
 
-@query(f"{G}, r AS (SELECT game_id, row_number() OVER (PARTITION BY source_month ORDER BY {u64_sql('half', 'game_id')}, game_id) AS place, COUNT(*) OVER (PARTITION BY source_month) AS n FROM games) SELECT game_id, CASE WHEN place <= floor(n / 2) THEN 'fit' ELSE 'check' END AS half FROM r")
+@query(f"{G}, r AS (SELECT game_id, row_number() OVER (ORDER BY {u64_sql('half', 'game_id')}, game_id) AS place, COUNT(*) OVER () AS n FROM games) SELECT game_id, CASE WHEN place <= floor(n / 2) THEN 'fit' ELSE 'check' END AS half FROM r")
 def game_half_split(spark, d):
-    w = Window.partitionBy("source_month")
-    rows = games(spark, d).select("game_id", "source_month", hash_score("half", SEED, F.col("game_id")).alias("u"))
-    rows = rows.withColumns({"place": F.row_number().over(w.orderBy("u", "game_id")), "n": F.count("*").over(w)})
-    return rows.select("game_id", F.when(F.col("place") <= F.floor(F.col("n") / 2), "fit").otherwise("check").alias("half"))
+    """Ranks all games without sorting them in one task: ranks within ranges of the hash, plus the games of the ranges before."""
+    rows = games(spark, d).select("game_id", hash_score("half", SEED, F.col("game_id")).alias("u"))
+    rows = rows.withColumn("range", F.floor(F.col("u") / F.lit(2**48)).cast("int"))
+    # At most 65,537 ranges, whatever the number of games.
+    ranges, every = rows.groupBy("range").agg(F.count("*").alias("m")), Window.orderBy("range")
+    ranges = ranges.select("range", (F.sum("m").over(every) - F.col("m")).alias("before"), F.sum("m").over(every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("n"))
+    rows = rows.withColumn("place", F.row_number().over(Window.partitionBy("range").orderBy("u", "game_id"))).join(F.broadcast(ranges), "range")
+    return rows.select("game_id", F.when(F.col("before") + F.col("place") <= F.floor(F.col("n") / 2), "fit").otherwise("check").alias("half"))
 
 
 HELD = f"{u64_sql('player_holdout', '{}')} % 100 < 10"
