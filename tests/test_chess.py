@@ -98,3 +98,27 @@ def test_archive_to_records(spark, tmp_path):
     assert (game.white_rating, game.black_rating, game.ply_count, game.source_game_index, game.black_player_hash) == (1500, None, 6, 10, None)
     assert out["moves"].count() == 6 and out["positions"].count() == 4
     assert {r.error_code for r in out["ingestion_errors"].collect()} == {"illegal_move", "incomplete_game"}
+
+
+def test_audit_evaluates_a_position_once(spark, sf_dir):
+    from plyforge.plans import QUERIES
+
+    for name in ("chess_legality_audit", "chess_context"):
+        plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("[_walk(") == 1 and plan.count("ArrowEvalPython [") == 2 and plan.count("_walk(") == 1
+    assert QUERIES["chess_legality_audit"](spark, sf_dir).collect() == []
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from("pnbrqkPNBRQK" + "." * 24), min_size=64, max_size=64), st.booleans(), st.sampled_from([None, 16, 20, 40, 43]))
+def test_legal_moves_by_shields_are_those_by_trial(cells, white, ep):
+    board = B.Board()
+    board.cells, board.white, board.ep = cells, white, ep
+    assert board.legal() == [m for m in board.candidates() if board.is_legal(m)]
+
+
+def test_legal_moves_try_only_what_may_expose_the_king(monkeypatch):
+    tried = []
+    trial = B.Board.is_legal
+    monkeypatch.setattr(B.Board, "is_legal", lambda self, move: tried.append(move) or trial(self, move))
+    assert len(B.Board("r3k2r/p1ppqpb1/bn2pnp1/3PN3/1p2P3/2N2Q1p/PPPBBPPP/R3K2R w KQkq - 0 1").legal()) == 48 and len(tried) <= 8
