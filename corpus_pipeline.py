@@ -40,14 +40,15 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose language can't be told: texts of no learned language score below its own."""
+    """Drops documents whose language can't be told: texts of no learned language score below its own.
+    All training documents give the prototypes and the least scores; every text is scored once."""
     training = remainder(F.col("doc_id")) != 0
     langs, prototypes = language.fit(docs, training)
     if not langs:
         return docs
-    least = language.least_scores(docs, training, langs, prototypes, LOWEST_SHARE)
-    floors = F.create_map(*[F.lit(x) for pair in least.items() for x in pair])
-    named = language.predict(_wrapped(docs), langs, prototypes)
+    named = written(language.predict(_wrapped(docs).drop("doc_id"), langs, prototypes).drop("text"), "named")
+    known = named.filter(remainder(F.col("_doc.doc_id")) != 0).select("_doc.lang", "lang_pred", "score")
+    floors = F.create_map(*[F.lit(x) for pair in language.least_scores(known, langs, LOWEST_SHARE).items() for x in pair])
     return named.filter((F.col("lang_pred") != "und") & (F.col("score") >= floors[F.col("lang_pred")])).select("_doc.*")
 
 

@@ -7,8 +7,8 @@ one space; a language's prototype bundles the unit vectors of its training docum
 prototype by cosine, after taking the prototypes' common direction away from both sides, names the
 language; the score is that cosine, cut to 0..1.
 
-Prototypes are fitted on at most about ``per_language`` documents a language, chosen by a
-hash of the id; that bound is the only one, and prediction reads whole texts.
+Prototypes and the languages' least scores come from the whole texts of all training documents of the
+``most_languages`` most frequent languages.
 
 Null text, and text without a letter, is ``und`` with score 0, and so is every text where nothing could be
 learned. Repeated rows are predicted alike. An empty table gives an empty result.
@@ -91,16 +91,15 @@ class Encoder:
         return total / size if size else total
 
 
-def _sampled(docs: DataFrame, training: Column, per_language: int, most_languages: int) -> DataFrame:
-    """The documents that prototypes are fitted on: doc_id, text, lang."""
+def _training(docs: DataFrame, training: Column, most_languages: int) -> DataFrame:
+    """The documents that prototypes are fitted on: text, lang."""
     rows = docs.filter(training & F.col("lang").isNotNull() & F.col("text").isNotNull())
     # At most ``most_languages`` rows, so they are broadcast and no text is shuffled.
-    counts = F.broadcast(rows.groupBy("lang").agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), "lang").limit(most_languages))
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1_000_000))
-    return rows.select("doc_id", "text", "lang").join(counts, "lang").filter(draw < F.lit(1_000_000.0 * per_language) / F.col("_n"))
+    most = F.broadcast(rows.groupBy("lang").agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), "lang").limit(most_languages).select("lang"))
+    return spread(rows.select("text", "lang")).join(most, "lang")
 
 
-def fit(docs: DataFrame, training: Column, per_language: int = 2000, most_languages: int = 256, dim: int = 1024, seed: int = 5) -> tuple[list[str], np.ndarray]:
+def fit(docs: DataFrame, training: Column, most_languages: int = 256, dim: int = 1024, seed: int = 5) -> tuple[list[str], np.ndarray]:
     """(languages, prototypes) of the ``most_languages`` most frequent languages, from the rows that
     ``training`` marks and whose lang isn't null."""
 
@@ -114,8 +113,8 @@ def fit(docs: DataFrame, training: Column, per_language: int = 2000, most_langua
         rows = [(lang, i, int(x)) for lang, v in sums.items() for i, x in enumerate(v)]
         yield pd.DataFrame(rows, columns=["lang", "at", "x"])
 
-    rows = _sampled(docs, training, per_language, most_languages)
     small_batches(docs.sparkSession)
+    rows = _training(docs, training, most_languages)
     sums = rows.select("text", "lang").mapInPandas(bundle, "lang string, at int, x long").groupBy("lang", "at").agg(F.sum("x").alias("x")).toPandas()
     langs = sorted(sums["lang"].unique())
     out = np.zeros((len(langs), dim))
@@ -123,11 +122,13 @@ def fit(docs: DataFrame, training: Column, per_language: int = 2000, most_langua
     return langs, out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
 
 
-def least_scores(docs: DataFrame, training: Column, langs: list[str], prototypes: np.ndarray, quantile: float = 0.005, per_language: int = 2000, most_languages: int = 256) -> dict[str, float]:
-    """Of every language, the score that all but ``quantile`` of its own training documents reach (those
-    that are named rightly; the lowest of the others' where there are none)."""
-    rows = predict(_sampled(docs, training, per_language, most_languages).select("text", "lang"), langs, prototypes).filter(F.col("lang_pred") == F.col("lang"))
-    found = {r["lang"]: r["least"] for r in rows.groupBy("lang").agg(F.percentile_approx("score", quantile).alias("least")).collect()}
+def least_scores(named: DataFrame, langs: list[str], quantile: float = 0.005) -> dict[str, float]:
+    """Of every language, the score that all but ``quantile`` of its own documents reach (those that are
+    named rightly; the lowest of the others' where there are none). named: lang, lang_pred and score of training documents."""
+    least = F.expr(f"percentile_disc({quantile}) WITHIN GROUP (ORDER BY score)")
+    rows = named.filter((F.col("lang_pred") == F.col("lang")) & (F.col("lang_pred") != "und"))
+    # Scores have six digits, so their counts are few, however many documents there are.
+    found = {r["lang"]: r["least"] for r in rows.groupBy("lang").agg(least.alias("least")).collect()}
     return {lang: found.get(lang, min(found.values(), default=0.0)) for lang in langs}
 
 

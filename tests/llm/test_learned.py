@@ -145,3 +145,13 @@ def test_toxicity_odd_rows(spark):
     none = toxicity.fit(df, labels.filter("toxic = 0"), F.lit(True))
     assert all(r.toxicity < 0.5 for r in toxicity.score(df, none).collect())
     assert toxicity.score(docs(spark, []), model).collect() == []
+
+
+def test_prototypes_and_least_scores_come_from_all_documents(spark):
+    rows = [(i, "der und die nicht das ist ein" if i % 3 else f"wort {i} und noch eines", "de") for i in range(2600)]
+    langs, prototypes = language.fit(docs(spark, rows), F.lit(True))
+    encode = language.Encoder(1024, 5)
+    whole = sum(np.rint(encode.vector(t) * language.SCALE) for _, t, _ in rows)
+    assert langs == ["de"] and np.allclose(prototypes[0], whole / np.linalg.norm(whole))
+    named = spark.createDataFrame([("de", "de", i / 5000) for i in range(5000)] + [("de", "en", 0.0), ("en", "und", 0.0)], "lang string, lang_pred string, score double")
+    assert language.least_scores(named, ["de", "en"], 0.005) == {"de": 24 / 5000, "en": 24 / 5000}
