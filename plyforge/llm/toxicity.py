@@ -10,9 +10,8 @@ score is a logistic regression over words and word beginnings of the restored te
 features are those whose presence differs between the classes by more than chance and that carry weight. When
 scoring, only what may hold a feature is decoded; nothing that decoding would find is passed over.
 
-Language model, features and weights are fitted on at most about ``per_class`` labelled training rows of
-each class, chosen by a hash of the id (the regression's intercept undoes the classes' unequal
-rates). Scoring reads whole texts.
+Language model, features and weights are fitted on the whole texts of all labelled training rows; copies of
+a text count once (the intercept undoes that the classes differ in copies). Scoring reads whole texts.
 
 Null text counts as empty; a text without features gets the intercept's probability. Without any
 labelled training row of both classes the score is the rate of the one, or 0. Repeated rows are scored
@@ -39,6 +38,11 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb",
 SEPARATORS = ".-_*~'`^,:;/\\"
 SPACED = re.compile(r"(?<!\S)(?:\S[ \t]+){2,}\S(?!\S)")
 STRETCH = re.compile(r"(?<!\S)(?:\S{1,4}[ \t]+)+\S{1,4}(?!\S)")
+#: Whether three tokens of one character follow each other, as each of ``SPACED`` has them.
+def _spaced(tokens: list[str]) -> bool:
+    return "111" in "".join(["1" if len(t) == 1 else "0" for t in tokens])
+
+
 EDGE = ".,;:!?\"'()[]{}<>…»«„“”*_-~"
 PLAIN_EDGE = "".join(c for c in EDGE if c not in LEET)
 CHANGED, DROPPED = math.log(0.05), math.log(0.1)
@@ -152,6 +156,7 @@ class Reader:
     def __init__(self, model: CharModel | None, wanted: dict[str, int] | None, keep: int = 150_000):
         self.model, self.wanted, self.keep = model, wanted, keep
         self.seen: dict[str, tuple] = {}
+        self.stretches: dict[str, tuple] = {}
         self.starts = {k[1:]: i for k, i in (wanted or {}).items() if k[0] == "^"}
         #: First four letters of all features.
         self.heads = {(k[1:] if k[0] == "^" else k)[:4] for k in wanted or {}}
@@ -209,13 +214,26 @@ class Reader:
     def apart(self, stretch: str) -> list[str]:
         return decode(re.sub(r"[ \t]+", " ", stretch.lower()), self.model).split()
 
+    def within(self, stretch: str) -> tuple:
+        """The words that hide in a stretch, remembered."""
+        found = self.stretches.get(stretch)
+        if found is None:
+            hides = self.hides(stretch) if self.wanted is not None else SPACED.search(stretch)
+            found = tuple(self.apart(stretch)) if hides else ()
+            if len(self.stretches) > self.keep:
+                self.stretches.clear()
+            if len(stretch) <= 64:
+                self.stretches[stretch] = found
+        return found
+
     def tokens(self, text: str) -> set[str]:
         """The text's tokens, and the words that hide in its stretches of short ones."""
-        out = set(text.split())
-        if self.model is not None:
+        found = text.split()
+        out = set(found)
+        # Without wanted features only spaced-out words are sought.
+        if self.model is not None and (self.wanted is not None or _spaced(found)):
             for m in STRETCH.findall(text):
-                if self.hides(m) if self.wanted is not None else SPACED.search(m):
-                    out.update(self.apart(m))
+                out.update(self.within(m))
         return out
 
     def __call__(self, text: str | None) -> set:
@@ -265,11 +283,54 @@ class Model:
         self.chars, self.places, self.weights = chars, places, weights
 
 
-def fit(docs: DataFrame, labels: DataFrame, training: Column, per_class: int = 10_000, least_z: float = 5.0, least_weight: float = 0.25) -> Model:
-    """``labels``: doc_id, toxic. ``training`` is a condition on doc_id. Copies in the sample count once.
+def _within(ids: DataFrame, bits: int = 23) -> Column:
+    """Whether a doc_id may be among ``ids``: a bitmap of fixed size, which spares the other texts the shuffle; a join must follow."""
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - bits)
+    got = ids.select(F.shiftright(place, 6).alias("word"), F.expr("1L").alias("one"), (place % 64).cast("int").alias("bit"))
+    got = got.groupBy("word").agg(F.bit_or(F.call_function("shiftleft", "one", "bit")).alias("set")).toPandas()
+    table = np.zeros(1 << (bits - 6), dtype=np.uint64)
+    table[got["word"].to_numpy(dtype=int)] = got["set"].to_numpy(dtype=np.int64).astype(np.uint64)
+    shared = ids.sparkSession.sparkContext.broadcast(table)
+
+    @F.pandas_udf("boolean")
+    def among(places: pd.Series) -> pd.Series:
+        x = places.to_numpy(dtype=np.int64).astype(np.uint64)
+        return pd.Series(((shared.value[(x >> np.uint64(6)).astype(np.int64)] >> (x & np.uint64(63))) & np.uint64(1)).astype(bool))
+
+    return among(place)
+
+
+def _labelled(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """text, y of every distinct text of the documents in ``known`` (doc_id, y); the higher y of copies. Texts move once:
+    copies are told by their hashes."""
+    text = F.coalesce("text", F.lit(""))
+    hashed = docs.select("doc_id", F.xxhash64(text).alias("t"), F.sha2(text, 256).alias("h"))
+    chosen = hashed.join(known, "doc_id").groupBy("t", "h").agg(F.min("doc_id").alias("doc_id"), F.max("y").alias("y"))
+    chosen = written(chosen, "chosen")
+    rows = docs.select("doc_id", text.alias("text")).filter(_within(chosen)).join(chosen, "doc_id").filter(F.sha2("text", 256) == F.col("h"))
+    # One id may come with one text several times.
+    return written(rows.dropDuplicates(["doc_id", "t", "h"]).select("text", "y"), "labelled")
+
+
+def _regress_far(pairs: DataFrame, moved: np.ndarray, size: int, weight: Column, total: float, ridge: float = 0.05) -> np.ndarray:
+    """``_regress`` where the patterns stay in the cluster. pairs: y, on, n; moved: a feature's place, or -1."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.linalg import Vectors, VectorUDT
+
+    places = [int(x) for x in moved]
+    vector = F.udf(lambda on: Vectors.sparse(max(1, size), {places[i]: 1.0 for i in on if places[i] >= 0}), VectorUDT())
+    rows = pairs.select(F.col("y").cast("double").alias("label"), vector("on").alias("features"), weight.alias("weight"))
+    # The library divides the loss by the weights' sum.
+    model = LogisticRegression(maxIter=100, tol=1e-7, regParam=ridge / total, standardization=False, weightCol="weight").fit(rows)
+    return np.concatenate([[model.intercept], model.coefficients.toArray()[:size]])
+
+
+def fit(docs: DataFrame, labels: DataFrame, training: Column, least_z: float = 5.0, least_weight: float = 0.25, most_patterns: int = 20_000) -> Model:
+    """``labels``: doc_id, toxic. ``training`` is a condition on doc_id. Copies count once.
 
     All features beyond ``least_z`` are fitted; those with a weight under ``least_weight`` go and the rest is
-    fitted again. The driver gets the features and a small row per pattern of features in the sample."""
+    fitted again. The driver gets the features; with up to ``most_patterns`` patterns of features also a small row for
+    each, else the regression is left to the cluster."""
     spark = docs.sparkSession
     small_batches(spark)
     known = labels.filter(training & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("y"))
@@ -277,35 +338,49 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, per_class: int = 1
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
     if not n1 or not n0:
         return Model({}, {}, np.array([30.0 if n1 else -30.0]))
-    rate = {y: min(1.0, per_class / n) for y, n in ((1, n1), (0, n0))}
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(1_000_000))
-    sample = known.filter(draw < F.lit(1_000_000) * F.when(F.col("y") == 1, rate[1]).otherwise(rate[0]))
-    # Bounded by per_class: about 2 * per_class ids travel, and the texts stay where they are. The sample is
-    # written once and read for each step of the fit.
-    rows = spread(docs.select("doc_id", "text")).join(F.broadcast(sample), "doc_id").select("text", "y")
-    rows = written(rows.groupBy(F.xxhash64("text").alias("t"), F.sha2("text", 256).alias("h")).agg(F.first("text").alias("text"), F.max("y").alias("y")).select("text", "y"), "sample")
-    rows = rows.repartition(spark.sparkContext.defaultParallelism)
+    # Written once and read for each step of the fit.
+    rows = spread(_labelled(docs, known))
     sizes = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
 
     def chars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts: Counter = Counter()
+        words: Counter = Counter()
+
+        def grams_of() -> pd.DataFrame:
+            counts: Counter = Counter()
+            for word, n in words.items():
+                for gram in trigrams(word.strip(EDGE).lower()):
+                    counts[gram] += n
+            words.clear()
+            return pd.DataFrame({"gram": pd.Series(list(counts), dtype=object), "n": pd.Series(list(counts.values()), dtype="int64")})
+
         for batch in batches:
             for text in batch["text"]:
                 # Letters of spaced-out words aren't words.
-                for word in SPACED.sub(" ", text or "").split():
-                    counts.update(trigrams(word.strip(EDGE).lower()))
-        yield pd.DataFrame(list(counts.items()), columns=["gram", "n"])
+                found = text.split()
+                words.update(SPACED.sub(" ", text).split() if _spaced(found) else found)
+                if len(words) > 200_000:
+                    yield grams_of()
+        yield grams_of()
 
     grams = {r["gram"]: r["n"] for r in rows.select("text").mapInPandas(chars, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()}
 
     def presence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         read = Reader(CharModel(grams), None)
+        clean, toxic = Counter(), Counter()
+
+        def counted() -> pd.DataFrame:
+            names = list(clean.keys() | toxic.keys())
+            out = pd.DataFrame({"name": pd.Series(names, dtype=object), "clean": pd.Series([clean[x] for x in names], dtype="int64"), "toxic": pd.Series([toxic[x] for x in names], dtype="int64")})
+            clean.clear()
+            toxic.clear()
+            return out
+
         for batch in batches:
-            counts: dict[str, list[int]] = {}
             for text, y in zip(batch["text"], batch["y"], strict=True):
-                for name in read(text):
-                    counts.setdefault(name, [0, 0])[int(y)] += 1
-            yield pd.DataFrame({"name": pd.Series(list(counts), dtype=object), "clean": [a for a, _ in counts.values()], "toxic": [b for _, b in counts.values()]})
+                (toxic if y else clean).update(read(text))
+                if len(clean) + len(toxic) > 200_000:
+                    yield counted()
+        yield counted()
 
     found = rows.mapInPandas(presence, "name string, clean long, toxic long").groupBy("name").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t"))
     m1, m0 = float(max(1, sizes.get(1, 0))), float(max(1, sizes.get(0, 0)))
@@ -319,19 +394,24 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, per_class: int = 1
         for batch in batches:
             yield pd.DataFrame({"y": batch["y"].astype(int), "on": [sorted(read(t)) for t in batch["text"]]})
 
-    pairs = rows.mapInPandas(marked, "y int, on array<int>").groupBy("y", "on").agg(F.count("*").alias("n")).collect()
-    y = np.array([r["y"] for r in pairs], dtype=float)
+    pairs = written(rows.mapInPandas(marked, "y int, on array<int>").groupBy("y", "on").agg(F.count("*").alias("n")), "patterns")
     # The classes' rates are those of all labelled rows.
-    weight = np.array([r["n"] * (n1 / m1 if r["y"] else n0 / m0) for r in pairs])
-    weight *= (m1 + m0) / max(float(weight.sum()), 1.0)
-    on = [np.array(r["on"], dtype=np.int64) for r in pairs]
-    w = _regress(on, len(places), y, weight)
+    rate = {1: n1 / m1, 0: n0 / m0}
+    rate = {y: r * (m1 + m0) / (n1 + n0) for y, r in rate.items()}
+    if pairs.count() > most_patterns:
+        weights = F.col("n") * F.when(F.col("y") == 1, rate[1]).otherwise(rate[0])
+        regress = lambda moved, size: _regress_far(pairs, moved, size, weights, m1 + m0)
+    else:
+        got = pairs.collect()
+        y = np.array([r["y"] for r in got], dtype=float)
+        weight = np.array([r["n"] * rate[1 if r["y"] else 0] for r in got])
+        on = [np.array(r["on"], dtype=np.int64) for r in got]
+        regress = lambda moved, size: _regress([moved[x][moved[x] >= 0] for x in on], size, y, weight)
+    w = regress(np.arange(len(places)), len(places))
     kept = [name for name, i in places.items() if w[1 + i] >= least_weight]
-    again = {name: i for i, name in enumerate(kept)}
     moved = np.full(len(places) + 1, -1)
     moved[[places[name] for name in kept]] = np.arange(len(kept))
-    on = [moved[x][moved[x] >= 0] for x in on]
-    return Model(grams, again, _regress(on, len(kept), y, weight))
+    return Model(grams, {name: i for i, name in enumerate(kept)}, regress(moved, len(kept)))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -155,3 +155,25 @@ def test_prototypes_and_least_scores_come_from_all_documents(spark):
     assert langs == ["de"] and np.allclose(prototypes[0], whole / np.linalg.norm(whole))
     named = spark.createDataFrame([("de", "de", i / 5000) for i in range(5000)] + [("de", "en", 0.0), ("en", "und", 0.0)], "lang string, lang_pred string, score double")
     assert language.least_scores(named, ["de", "en"], 0.005) == {"de": 24 / 5000, "en": 24 / 5000}
+
+
+def test_toxicity_is_fitted_on_all_labelled_rows(spark, monkeypatch):
+    rows = [(i, f"nice words number {'abcdefghij'[i % 10]} all fine {i:05d}") for i in range(13_000)] + [(20_000 + i, f"you rotter number {i} all fine") for i in range(30)]
+    df, labels = docs(spark, rows), spark.createDataFrame([(i, int(i >= 20_000)) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.fit(df, labels, F.lit(True))
+    assert model.chars["^^n"] == 2 * 13_000 + 30 and model.chars["^^y"] == 30
+
+
+def test_toxicity_is_fitted_alike_in_the_cluster(spark):
+    df, labels = (spark.read.parquet(f"{MEDIUM}/{name}.parquet") for name in ("documents", "labels"))
+    here, far = (toxicity.fit(df, labels, F.lit(True), most_patterns=n) for n in (10**6, 0))
+    assert here.places == far.places and here.chars == far.chars
+    a, b = ({r.doc_id: r.toxicity for r in toxicity.score(df, m).select("doc_id", "toxicity").collect()} for m in (here, far))
+    assert max(abs(a[i] - b[i]) for i in a) < 0.02
+
+
+def test_toxicity_counts_copies_once(spark):
+    rows = [(i, f"nice words {i}") for i in range(40)] + [(100 + i, "you idiot") for i in range(5)] + [(100, "you idiot"), (100, "an other text"), (200, None)]
+    known = spark.createDataFrame([(i, int(i >= 100)) for i in [*range(40), *range(100, 105), 200]], "doc_id long, y int")
+    got = sorted((r.text, r.y) for r in toxicity._labelled(docs(spark, rows), known).collect())
+    assert got == sorted([(f"nice words {i}", 0) for i in range(40)] + [("you idiot", 1), ("an other text", 1), ("", 1)])
