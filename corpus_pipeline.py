@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plyforge.llm import language, near_dup, packing, secrets, toxicity
-from plyforge.llm.common import remainder, written
+from plyforge.llm.common import few, remainder, written
 from plyforge.llm.queries import tokenizer_files
 
 #: A document goes if its toxicity is at least this.
@@ -61,7 +61,7 @@ def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     classes = written(near_dup.classify(rows.select(F.col("_row").alias("doc_id"), F.col("_doc.text").alias("text")), words=5, percent=80).select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_class")), "classes")
     keys = rows.select("_row", "doc_id").join(classes, "_row")
     kept = keys.groupBy("_class").agg(F.min(order).alias("o")).select(F.col("o._row").alias("_row"))
-    return rows.join(kept, "_row", "left_semi").select("_doc.*")
+    return few(rows.join(kept, "_row", "left_semi"), rows.count()).select("_doc.*")
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,7 +71,7 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs all that is left into sequences of at most 2048 tokens; a row per piece."""
-    return packing.pack_documents(docs, **tokenizer_files())
+    return few(packing.pack_documents(docs, **tokenizer_files()), docs.count())
 
 
 STAGES = [

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -35,6 +36,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def few(df: DataFrame, rows: int, each: int = 10_000) -> DataFrame:
+    """``df`` in so many parts at most that one has ``each`` of ``rows``, but two for each core: whatever the number
+    of shuffle partitions. Every part is a file, and for a file (and its checksum) on a local disk Hadoop starts a process,
+    which counts the executor's whole memory once more until it runs its own program."""
+    return df.coalesce(max(2 * df.sparkSession.sparkContext.defaultParallelism, math.ceil(rows / each)))
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased; every other character stays."""
     return F.translate(text, UPPER, LOWER)

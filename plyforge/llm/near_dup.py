@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plyforge.llm.common import small_batches, spread, written
+from plyforge.llm.common import few, small_batches, spread, written
 from plyforge.llm.skew import components, left_join
 
 SKETCH_BITS, FILTER_BITS = 17, 23
@@ -328,29 +328,33 @@ def hot_links(members: DataFrame, sets: DataFrame, percent: int, block: int) ->
 def classify(docs: DataFrame, words: int = 5, percent: int = 80, coordinates: int = 32, cold: int = 24, block: int = 512, meet: int = 3) -> DataFrame:
     """doc_id, n_shingles, component_id: a row per row of ``docs``."""
     signs = written(signed(docs, words, coordinates), "signatures")
+    total = signs.count()
     known = signs.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    reps = written(known.groupBy("d1", "d2").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("signature").alias("signature")), "representatives")
+    reps = known.groupBy("d1", "d2").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("signature").alias("signature"))
+    reps = written(few(reps, total), "representatives")
     least = least_matches(percent / 100, coordinates)
     # Pairs that agree in ``least`` coordinates share ``meet`` of their first coordinates - least + meet.
     # Long lists record all that post there: any of those ``meet`` may be in one.
     prefix = min(coordinates, coordinates - least + meet)
     posted = postings(reps, coordinates, prefix, sketch_of(reps, coordinates))
-    met = written(collisions(posted, cold, prefix), "collisions")
+    met = written(few(collisions(posted, cold, prefix), total), "collisions")
     pairs = met.filter("b IS NOT NULL").groupBy("a", "b").agg(F.count("*").alias("shared")).filter(F.col("shared") >= min(meet, least)).select("a", "b")
-    pairs = written(matching(pairs, reps, coordinates, least).distinct(), "pairs")
+    pairs = written(few(matching(pairs, reps, coordinates, least).distinct(), total), "pairs")
     members = written(met.filter("b IS NULL").select("cell", F.col("a").alias("doc_id")), "members")
-    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).union(members.select("doc_id")).distinct(), "ids")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).union(members.select("doc_id")).distinct()
+    ids = written(few(ids, total), "ids")
     sets = written(sets_of(docs, ids, words), "sets")
     # One id may come with several texts: each of its sets stands for the id.
     same = known.groupBy("doc_id").agg(F.min(F.struct("d1", "d2")).alias("x"), F.max(F.struct("d1", "d2")).alias("y")).filter("x <> y").select("doc_id")
     twice = known.join(same, "doc_id", "left_semi").select("doc_id", "d1", "d2").distinct()
     own = twice.join(reps.select("d1", "d2", F.col("doc_id").alias("rep")), ["d1", "d2"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     small_batches(docs.sparkSession, 64)  # rows with full sets are long
-    links = written(confirm(pairs, sets, percent).union(hot_links(members, sets, percent, block)).union(own), "links")
+    # distinct() deals the links anew, so the parts of a split join stay apart until then.
+    links = confirm(pairs, sets, percent).union(hot_links(members, sets, percent, block)).union(own).distinct()
+    links = written(few(links, total), "links")
     small_batches(docs.sparkSession)
     roots = components(links)
     named = reps.select("d1", "d2", "copies", F.col("doc_id").alias("rep")).join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("d1", "d2", "copies", F.coalesce("component", "rep").alias("found"))
-    total = signs.count()
     rows = left_join(signs.select("doc_id", "n_shingles", "d1", "d2"), named, ["d1", "d2"], "copies", total, F.col("doc_id"))
-    return rows.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("found")).otherwise(F.col("doc_id")).alias("component_id"))
+    return few(rows, total).select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("found")).otherwise(F.col("doc_id")).alias("component_id"))

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plyforge.llm.common import small_batches, spread, written
+from plyforge.llm.common import few, small_batches, spread, written
 
 # The letters that a character may stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i"}
@@ -300,16 +300,16 @@ def _within(ids: DataFrame, bits: int = 23) -> Column:
     return among(place)
 
 
-def _labelled(docs: DataFrame, known: DataFrame) -> DataFrame:
-    """text, y of every distinct text of the documents in ``known`` (doc_id, y); the higher y of copies. Texts move once:
+def _labelled(docs: DataFrame, known: DataFrame, total: int) -> DataFrame:
+    """text, y of every distinct text of the documents in ``known`` (doc_id, y; ``total`` rows); the higher y of copies. Texts move once:
     copies are told by their hashes."""
     text = F.coalesce("text", F.lit(""))
     hashed = docs.select("doc_id", F.xxhash64(text).alias("t"), F.sha2(text, 256).alias("h"))
     chosen = hashed.join(known, "doc_id").groupBy("t", "h").agg(F.min("doc_id").alias("doc_id"), F.max("y").alias("y"))
-    chosen = written(chosen, "chosen")
+    chosen = written(few(chosen, total), "chosen")
     rows = docs.select("doc_id", text.alias("text")).filter(_within(chosen)).join(chosen, "doc_id").filter(F.sha2("text", 256) == F.col("h"))
     # One id may come with one text several times.
-    return written(rows.dropDuplicates(["doc_id", "t", "h"]).select("text", "y"), "labelled")
+    return written(few(rows.dropDuplicates(["doc_id", "t", "h"]).select("text", "y"), total), "labelled")
 
 
 def _regress_far(pairs: DataFrame, moved: np.ndarray, size: int, weight: Column, total: float, ridge: float = 0.05) -> np.ndarray:
@@ -339,7 +339,7 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, least_z: float = 5
     if not n1 or not n0:
         return Model({}, {}, np.array([30.0 if n1 else -30.0]))
     # Written once and read for each step of the fit.
-    rows = spread(_labelled(docs, known))
+    rows = spread(_labelled(docs, known, n0 + n1))
     sizes = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
 
     def chars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -394,7 +394,8 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, least_z: float = 5
         for batch in batches:
             yield pd.DataFrame({"y": batch["y"].astype(int), "on": [sorted(read(t)) for t in batch["text"]]})
 
-    pairs = written(rows.mapInPandas(marked, "y int, on array<int>").groupBy("y", "on").agg(F.count("*").alias("n")), "patterns")
+    pairs = rows.mapInPandas(marked, "y int, on array<int>").groupBy("y", "on").agg(F.count("*").alias("n"))
+    pairs = written(few(pairs, n0 + n1), "patterns")
     # The classes' rates are those of all labelled rows.
     rate = {1: n1 / m1, 0: n0 / m0}
     rate = {y: r * (m1 + m0) / (n1 + n0) for y, r in rate.items()}

@@ -1,9 +1,11 @@
 import zlib
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from plyforge.llm.common import shared_dir
 from tests.llm.helpers import ODD
 from tests.llm.test_near_dup import brute
 
@@ -88,3 +90,29 @@ def test_clashing_columns_are_carried(spark, tmp_path):
 def test_empty_tables(spark, tmp_path):
     write_tables(spark, str(tmp_path), [], [])
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_tables_have_few_files_however_many_shuffle_partitions(spark, tmp_path):
+    """Every file on a local disk starts processes; a task of a small table is none."""
+    rows = [(i, f"some nice words here number {i // 2} and {i // 2 * 7} more of them to be read by everyone") for i in range(200)] + [(300 + i, f"you idiot number {i} all fine") for i in range(30)]
+    write_tables(spark, str(tmp_path), rows, [(i, 1, 0) for i in range(0, 60, 2)] + [(300 + i, 1, 1) for i in range(30)])
+    docs, names = spark.read.parquet(f"{tmp_path}/documents.parquet"), ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before, most = {k: spark.conf.get(k) for k in names}, 2 * spark.sparkContext.defaultParallelism
+    shared = Path(shared_dir(spark).removeprefix("file://"))
+    old = set(shared.iterdir())
+    try:
+        for k, v in zip(names, ("64", "false"), strict=True):
+            spark.conf.set(k, v)
+        kept = corpus_pipeline.near_dup_stage(spark, docs, str(tmp_path))
+        kept.write.parquet(f"{tmp_path}/out/kept")
+        packed = corpus_pipeline.packing_stage(spark, docs, str(tmp_path))
+        packed.write.parquet(f"{tmp_path}/out/packed")
+        corpus_pipeline.toxicity_stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/out/clean")
+        assert {r.doc_id for r in kept.collect()} == set(range(0, 200, 2)) | set(range(300, 330))
+        places = packed.collect()
+        assert {r.doc_id for r in places} == {i for i, _ in rows} and len({(r.sequence_id, r.offset) for r in places}) == len(places)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = {p.name: len(list(p.glob("part-*"))) for p in [*set(shared.iterdir()) - old, *(tmp_path / "out").iterdir()]}
+    assert len(files) > 12 and max(files.values()) <= most, files
