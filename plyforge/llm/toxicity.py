@@ -8,7 +8,8 @@ short tokens (four characters at most) a space is a character too: the search en
 spaced-out words come apart from their neighbours. The
 score is a logistic regression over words and word beginnings of the restored text; the
 features are those whose presence differs between the classes by more than chance and that carry weight. When
-scoring, only what may hold a feature is decoded; nothing that decoding would find is passed over.
+scoring, one search of the whole text finds the places where a feature may begin, and only these are decoded; nothing
+that decoding would find is passed over.
 
 Language model, features and weights are fitted on the whole texts of all labelled training rows; copies of
 a text count once (the intercept undoes that the classes differ in copies). Scoring reads whole texts.
@@ -24,7 +25,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -59,11 +60,11 @@ class CharModel:
                 self.counts["c" + gram[:k] if k == 2 else "u"] += n
                 self.counts["l" + gram[k:]] += n
             self.counts["b" + gram[1]] += n
-        self.cache: dict[tuple[str, str], float] = {}
+        self.cache: dict[str, float] = {}
 
     def log(self, context: str, c: str) -> float:
         """log P(c | two characters before it)."""
-        key = (context, c)
+        key = context + c
         if key not in self.cache:
             n = self.counts
             p = (n["l" + c] + 0.1) / (n["u"] + 0.1 * (len(LETTERS) + 2))
@@ -95,6 +96,8 @@ def suspicious(token: str) -> bool:
 #: Characters that may stand for each other become one letter; what stands for nothing goes.
 ALIKE = {ord(c): {"l": "i", "g": "b"}.get(x[0], x[0]) for c, x in LEET.items()} | {ord("l"): "i", ord("g"): "b"}
 UNREAD, DOUBLED = re.compile(f"[^{LETTERS} ]+"), re.compile(r"(.)\1+")
+#: What keeps a token from being read as it is: other characters, or a letter twice.
+UNPLAIN = re.compile(rf"[^{LETTERS}]|(.)\1")
 
 
 def outlines(text: str) -> list[str]:
@@ -102,6 +105,56 @@ def outlines(text: str) -> list[str]:
     return UNREAD.sub("", text.lower().replace("\t", " ").translate(ALIKE)).split(" ")
 
 
+def outline_tree(features: Iterable[str]) -> dict:
+    """Outlines of all features that decoding may give, letter by letter; "" marks a beginning's end, "$" a word's."""
+    tree: dict = {}
+    for k in features:
+        word = k[1:] if k[0] == "^" else k
+        if word and all(c in LETTERS for c in word):
+            at = tree
+            for c in DOUBLED.sub(r"\1", word.translate(ALIKE)):
+                at = at.setdefault(c, {})
+            at["" if k[0] == "^" else "$"] = {}
+    return tree
+
+
+def finder(features: Iterable[str]) -> re.Pattern | None:
+    """Finds, in a lower-cased text after a space, the tokens (group 1) at which a word with one of ``features`` may begin, plain or
+    hidden, in that token alone or with those after it; none for no features. The outlines' letters, each as any character that may
+    stand for it, with repetitions and unread characters between them. A feature that holds other
+    characters isn't ever decoded and stands as it is."""
+    known = sorted(set(LETTERS) | set(LEET))
+    alike: dict[str, list[str]] = {}
+    for c in known:
+        alike.setdefault(c.translate(ALIKE), []).append(c)
+    words = {k[1:] if k[0] == "^" else k for k in features} - {""}
+    plain = sorted(w for w in words if any(c not in LETTERS for c in w))
+    tree = outline_tree(features)
+
+    def branches(at: dict) -> str:
+        found = []
+        for c, after in sorted(at.items()):
+            if c in ("", "$"):
+                continue
+            letter = "[" + re.escape("".join(alike[c])) + "]"
+            others = [x for x in known if x not in alike[c]]
+            # Between letters goes what isn't read or repeats the first of them; after a word's last letter also what edges may have.
+            between = "[^" + re.escape("".join(others)) + "]*+"
+            end = "[^" + re.escape("".join(x for x in others if x not in EDGE)) + r"\s]*+(?!\S)"
+            if "" in after:
+                found.append(letter)
+            elif "$" not in after:
+                found.append(letter + between + branches(after))
+            else:
+                found.append(letter + (end if len(after) == 1 else f"(?:{end}|{between}{branches(after)})"))
+        return "(?:" + "|".join(found) + ")"
+
+    if not tree and not plain:
+        return None
+    edge = "[^" + re.escape("".join(c for c in known if c not in EDGE)) + r"\s]*"
+    return re.compile(r"\s(?=" + edge + "(?:" + "|".join([*map(re.escape, plain), *([branches(tree)] if tree else [])]) + r"))(\S+)")
+
+
 def decode(token: str, model: CharModel) -> str:
     """The likeliest letters behind a lower-cased token; words, where it holds single spaces."""
     return decoded(token, model)[1]
@@ -110,7 +163,7 @@ def decode(token: str, model: CharModel) -> str:
 def decoded(token: str, model: CharModel) -> tuple[float, str]:
     """``decode`` with its score. Linear in the token's length: a path is a chain of letters that paths share."""
     beam: dict[str, tuple[float, tuple | None]] = {"^^": (0.0, None)}
-    last, log = "", model.log
+    last, log, known = "", model.log, model.cache
     for c in token:
         fresh: dict[str, tuple[float, tuple | None]] = {}
         options = [(x, CHANGED) for x in LEET.get(c, "")]
@@ -124,7 +177,8 @@ def decoded(token: str, model: CharModel) -> tuple[float, str]:
                 if "^^" not in fresh or ended > fresh["^^"][0]:
                     fresh["^^"] = ended, path
             for x, cost in options:
-                new, key = score + cost + log(context, x), context[1] + x
+                price = known.get(context + x)
+                new, key = score + cost + (log(context, x) if price is None else price), context[1] + x
                 if key not in fresh or new > fresh[key][0]:
                     fresh[key] = new, (x, out)
             if skip is not None and (c != " " or context != "^^"):
@@ -153,7 +207,7 @@ class Reader:
     With ``wanted`` features only what may hold one is decoded: its outline, which no way of hiding
     changes, must hold the outline of a feature's beginning. So nothing that decoding would find is lost."""
 
-    def __init__(self, model: CharModel | None, wanted: dict[str, int] | None, keep: int = 150_000):
+    def __init__(self, model: CharModel | None, wanted: dict[str, int] | None, keep: int = 150_000, most_sought: int = 1500):
         self.model, self.wanted, self.keep = model, wanted, keep
         self.seen: dict[str, tuple] = {}
         self.stretches: dict[str, tuple] = {}
@@ -162,13 +216,21 @@ class Reader:
         self.heads = {(k[1:] if k[0] == "^" else k)[:4] for k in wanted or {}}
         self.outlines = {DOUBLED.sub(r"\1", "".join(outlines(k)))[:4] for k in wanted or {}}
         self.lengths = sorted({len(o) for o in self.outlines})
+        #: Many features begin at most tokens; then these are read one by one.
+        self.broad = len(wanted or {}) > most_sought
+        self.finder = None if self.broad else finder(wanted or {})
+        self.tree = outline_tree(wanted or {})
 
     def _known(self, word: str) -> tuple:
         """Places of a word's features among the wanted ones."""
         if word[:4] not in self.heads:
             return ()
-        found = (self.wanted.get(word), *(self.starts.get(word[:k]) for k in (4, 5, 6) if len(word) >= k))
-        return tuple(x for x in found if x is not None)
+        starts = self.starts
+        found = [self.wanted[word]] if word in self.wanted else []
+        for k in (4, 5, 6):
+            if word[:k] in starts and len(word) >= k:
+                found.append(starts[word[:k]])
+        return tuple(found)
 
     def hides(self, text: str) -> bool:
         """Whether a word with a wanted feature may begin at one of the text's tokens."""
@@ -184,6 +246,34 @@ class Reader:
                     return True
         return False
 
+    def joins(self, stretch: str) -> bool:
+        """Whether a wanted feature may go over several tokens of a stretch, or hide in one of them. Where it lies in a token of plain letters,
+        decoding gives the letters as they are, and the token has it by itself."""
+        tokens, root, raw = outlines(stretch), self.tree, []
+
+        def unplain(i: int) -> bool:
+            if not raw:
+                raw.extend(stretch.lower().replace("\t", " ").split(" "))
+            return UNPLAIN.search(raw[i].strip(PLAIN_EDGE)) is not None
+
+        for i, first in enumerate(tokens):
+            if not first or first[0] not in root:
+                continue
+            at, last = root, ""
+            for j in range(i, len(tokens)):
+                for c in tokens[j]:
+                    if c != last:
+                        at, last = at.get(c), c
+                        if at is None:
+                            break
+                    if "" in at and (j > i or unplain(i)):
+                        return True
+                if at is None:
+                    break
+                if "$" in at and (j > i or unplain(i)):
+                    return True
+        return False
+
     def restored(self, token: str) -> str:
         """The word behind a token: the likeliest reading, with what its edges may stand for or without."""
         low = token.lower()
@@ -198,7 +288,7 @@ class Reader:
         found = self.seen.get(token)
         if found is None:
             plain = token.strip(EDGE).lower()
-            if plain.isalpha() and token[0] not in LEET and token[-1] not in LEET and REPEATED.search(plain) is None:
+            if plain.isalpha() and (len(plain) == len(token) or token[0] not in LEET and token[-1] not in LEET) and REPEATED.search(plain) is None:
                 word = plain  # nothing hides in it
             elif self.wanted is not None and not self.hides(token) and not self.hides(token.strip(EDGE)):
                 word = ""
@@ -218,7 +308,7 @@ class Reader:
         """The words that hide in a stretch, remembered."""
         found = self.stretches.get(stretch)
         if found is None:
-            hides = self.hides(stretch) if self.wanted is not None else SPACED.search(stretch)
+            hides = self.joins(stretch) if self.wanted is not None else SPACED.search(stretch)
             found = tuple(self.apart(stretch)) if hides else ()
             if len(self.stretches) > self.keep:
                 self.stretches.clear()
@@ -226,6 +316,38 @@ class Reader:
                 self.stretches[stretch] = found
         return found
 
+    @staticmethod
+    def stretch_around(text: str, at: int) -> tuple[int, int]:
+        """Where the match of ``STRETCH`` with the short token at ``at`` begins and ends; empty if the token stands alone."""
+        while True:
+            blank = at
+            while blank and text[blank - 1] in " \t":
+                blank -= 1
+            before = blank
+            while before and blank - before < 5 and not text[before - 1].isspace():
+                before -= 1
+            if blank == at or not 0 < blank - before < 5:
+                break
+            at = before
+        found = STRETCH.match(text, at)
+        return found.span() if found else (at, at)
+
+    def near(self, text: str) -> set[str]:
+        """Of ``tokens`` those that may hold wanted features."""
+        low = "" if self.broad else text.lower()
+        if self.broad or len(low) != len(text):  # in the second case places differ
+            return self.tokens(text)
+        out: set = set()
+        end = 0
+        for m in self.finder.finditer(" " + low) if self.finder else ():
+            a, b = m.start(1) - 1, m.end(1) - 1
+            out.add(text[a:b])
+            if b - a <= 4 and a >= end and self.model is not None:
+                start, end = self.stretch_around(text, a)
+                if start < end:
+                    out.update(self.within(text[start:end]))
+        return out
+
     def tokens(self, text: str) -> set[str]:
         """The text's tokens, and the words that hide in its stretches of short ones."""
         found = text.split()
@@ -238,7 +360,7 @@ class Reader:
 
     def __call__(self, text: str | None) -> set:
         out: set = set()
-        for token in self.tokens(text or ""):
+        for token in self.tokens(text or "") if self.wanted is None else self.near(text or ""):
             found = self.seen.get(token)
             if found is None:
                 found = self.of_word(token)
@@ -300,12 +422,13 @@ def _within(ids: DataFrame, bits: int = 23) -> Column:
     return among(place)
 
 
-def _labelled(docs: DataFrame, known: DataFrame, total: int) -> DataFrame:
-    """text, y of every distinct text of the documents in ``known`` (doc_id, y; ``total`` rows); the higher y of copies. Texts move once:
+def _labelled(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """text, y of every distinct text of the documents in ``known`` (doc_id, y); the higher y of copies. Texts move once:
     copies are told by their hashes."""
     text = F.coalesce("text", F.lit(""))
     hashed = docs.select("doc_id", F.xxhash64(text).alias("t"), F.sha2(text, 256).alias("h"))
     chosen = hashed.join(known, "doc_id").groupBy("t", "h").agg(F.min("doc_id").alias("doc_id"), F.max("y").alias("y"))
+    total = known.count()
     chosen = written(few(chosen, total), "chosen")
     rows = docs.select("doc_id", text.alias("text")).filter(_within(chosen)).join(chosen, "doc_id").filter(F.sha2("text", 256) == F.col("h"))
     # One id may come with one text several times.
@@ -339,7 +462,7 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, least_z: float = 5
     if not n1 or not n0:
         return Model({}, {}, np.array([30.0 if n1 else -30.0]))
     # Written once and read for each step of the fit.
-    rows = spread(_labelled(docs, known, n0 + n1))
+    rows = spread(_labelled(docs, known))
     sizes = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
 
     def chars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

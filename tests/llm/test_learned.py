@@ -114,6 +114,24 @@ def test_nothing_that_hides_is_passed_over(chars):
         assert read(text) == {wanted[f] for x in found for f in toxicity.features_of(read.restored(x)) if f in wanted}
 
 
+def test_only_what_may_hide_a_feature_is_read(chars):
+    """The whole text is searched at once, with what reading every token finds; other tokens aren't looked at."""
+    draw, names = random.Random(5), ["idiot", "^stup", "^lose", "scum", "#tag", "привет", "1,5", "the"]
+    wanted = {f: i for i, f in enumerate(names)}
+    plain, leet = ["idiot", "stupid", "loser", "scum", "#tag", "привет", "1,5", "the", "of", "losing", "I", "İs"], {c: k for k, v in toxicity.LEET.items() for c in v}
+
+    def word():
+        out = "".join((leet[c] if c in leet and draw.random() < 0.2 else c.upper() if draw.random() < 0.1 else c) * draw.choice([1, 1, 1, 3]) + (draw.choice(" \t.-*\n_'") if draw.random() < 0.2 else "") for c in draw.choice(plain))
+        return draw.choice(["", "", "(", "!", "…#", "—", "'"]) + out + draw.choice(["", "", "!", ").", "…"])
+
+    for _ in range(400):
+        text = draw.choice([" ", "  ", "\xa0", "\n"]).join(word() for _ in range(draw.randint(1, 12)))
+        read, slow = toxicity.Reader(chars, wanted), toxicity.Reader(chars, wanted)
+        assert read(text) == {f for x in slow.tokens(text) for f in slow.of_word(x)}, text
+    read = toxicity.Reader(chars, {"idiot": 0})
+    assert read("word " + " ".join(f"other{i} w0rds a b{i}" for i in range(500)) + "\n1d i0t") == {0} and set(read.seen) == {"1d", "idiot"}
+
+
 @pytest.mark.parametrize("text", ["s" + 70 * "-" + "tupid", "what an (idiot)!", "l" + "o" * 90 + "ser", "1d10t!!", "+rash"])
 def test_long_and_bracketed_tokens(chars, text):
     assert toxicity.Reader(chars, {"stupid": 0, "idiot": 0, "loser": 0, "trash": 0})(text) == {0}
