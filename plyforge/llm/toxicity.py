@@ -50,6 +50,9 @@ CHANGED, DROPPED = math.log(0.05), math.log(0.1)
 LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
 
 
+ONLY = frozenset(LETTERS)
+
+
 class CharModel:
     """Trigram model over lower-case letters, interpolated with shorter contexts; ``^`` and ``$`` are a word's ends."""
 
@@ -75,7 +78,7 @@ class CharModel:
 
 def trigrams(word: str) -> list[str]:
     """The word's letters with two starts and an end, in threes; none if it has other characters."""
-    if not word or any(c not in LETTERS for c in word):
+    if not word or not ONLY.issuperset(word):
         return []
     s = "^^" + word + "$"
     return [s[i : i + 3] for i in range(len(s) - 2)]
@@ -207,9 +210,10 @@ class Reader:
     With ``wanted`` features only what may hold one is decoded: its outline, which no way of hiding
     changes, must hold the outline of a feature's beginning. So nothing that decoding would find is lost."""
 
-    def __init__(self, model: CharModel | None, wanted: dict[str, int] | None, keep: int = 150_000, most_sought: int = 1500):
+    def __init__(self, model: CharModel | None, wanted: dict[str, int] | None, keep: int = 150_000, most_sought: int = 3000):
         self.model, self.wanted, self.keep = model, wanted, keep
         self.seen: dict[str, tuple] = {}
+        self.read: dict[str, str] = {}
         self.stretches: dict[str, tuple] = {}
         self.starts = {k[1:]: i for k, i in (wanted or {}).items() if k[0] == "^"}
         #: First four letters of all features.
@@ -283,18 +287,35 @@ class Reader:
         forms = dict.fromkeys((core, low.strip(PLAIN_EDGE), low.lstrip(PLAIN_EDGE).rstrip(EDGE)))
         return max(decoded(x, self.model) for x in forms)[1]
 
+    def word(self, token: str) -> str:
+        """The restored word; empty if it holds none of the wanted features."""
+        plain = token.strip(EDGE).lower()
+        if plain.isalpha() and (len(plain) == len(token) or token[0] not in LEET and token[-1] not in LEET) and REPEATED.search(plain) is None:
+            return plain  # nothing hides in it
+        if self.wanted is not None and not self.hides(token) and not self.hides(token.strip(EDGE)):
+            return ""
+        return self.restored(token)
+
+    def words(self, text: str) -> set[str]:
+        """All restored words of a text, remembered."""
+        read, out = self.read, set()
+        for token in self.tokens(text):
+            word = read.get(token)
+            if word is None:
+                word = self.word(token)
+                if len(read) > self.keep:
+                    read.clear()
+                if len(token) <= 64:
+                    read[token] = word
+            out.add(word)
+        out.discard("")
+        return out
+
     def of_word(self, token: str) -> tuple:
-        """Features of the restored word, remembered."""
+        """Wanted features of the restored word, remembered."""
         found = self.seen.get(token)
         if found is None:
-            plain = token.strip(EDGE).lower()
-            if plain.isalpha() and (len(plain) == len(token) or token[0] not in LEET and token[-1] not in LEET) and REPEATED.search(plain) is None:
-                word = plain  # nothing hides in it
-            elif self.wanted is not None and not self.hides(token) and not self.hides(token.strip(EDGE)):
-                word = ""
-            else:
-                word = self.restored(token)
-            found = tuple(features_of(word) if word else ()) if self.wanted is None else self._known(word)
+            found = self._known(self.word(token))
             if len(self.seen) > self.keep:
                 self.seen.clear()
             if len(token) <= 64:
@@ -359,8 +380,10 @@ class Reader:
         return out
 
     def __call__(self, text: str | None) -> set:
+        if self.wanted is None:
+            return {f for word in self.words(text or "") for f in features_of(word)}
         out: set = set()
-        for token in self.tokens(text or "") if self.wanted is None else self.near(text or ""):
+        for token in self.near(text or ""):
             found = self.seen.get(token)
             if found is None:
                 found = self.of_word(token)
@@ -441,8 +464,15 @@ def _regress_far(pairs: DataFrame, moved: np.ndarray, size: int, weight: Column,
     from pyspark.ml.linalg import Vectors, VectorUDT
 
     places = [int(x) for x in moved]
-    vector = F.udf(lambda on: Vectors.sparse(max(1, size), {places[i]: 1.0 for i in on if places[i] >= 0}), VectorUDT())
-    rows = pairs.select(F.col("y").cast("double").alias("label"), vector("on").alias("features"), weight.alias("weight"))
+
+    def sparse(on: list[int]):
+        # Sorted, as the places keep the features' order.
+        at = [places[i] for i in on if places[i] >= 0]
+        return Vectors.sparse(max(1, size), at, [1.0] * len(at))
+
+    vector = F.udf(sparse, VectorUDT())
+    # Written, as the library reads the rows twice.
+    rows = written(pairs.select(F.col("y").cast("double").alias("label"), vector("on").alias("features"), weight.alias("weight")), "vectors")
     # The library divides the loss by the weights' sum.
     model = LogisticRegression(maxIter=100, tol=1e-7, regParam=ridge / total, standardization=False, weightCol="weight").fit(rows)
     return np.concatenate([[model.intercept], model.coefficients.toArray()[:size]])
@@ -489,19 +519,28 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, least_z: float = 5
 
     def presence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         read = Reader(CharModel(grams), None)
-        clean, toxic = Counter(), Counter()
+        # Whole words, and beginnings of 4, 5 and 6 letters.
+        clean, toxic = [Counter() for _ in range(4)], [Counter() for _ in range(4)]
 
         def counted() -> pd.DataFrame:
-            names = list(clean.keys() | toxic.keys())
-            out = pd.DataFrame({"name": pd.Series(names, dtype=object), "clean": pd.Series([clean[x] for x in names], dtype="int64"), "toxic": pd.Series([toxic[x] for x in names], dtype="int64")})
-            clean.clear()
-            toxic.clear()
-            return out
+            names, c, t = [], [], []
+            for kind, (a, b) in enumerate(zip(clean, toxic, strict=True)):
+                keys = list(a.keys() | b.keys())
+                names += ["^" + x for x in keys] if kind else keys
+                c += [a[x] for x in keys]
+                t += [b[x] for x in keys]
+                a.clear()
+                b.clear()
+            return pd.DataFrame({"name": pd.Series(names, dtype=object), "clean": pd.Series(c, dtype="int64"), "toxic": pd.Series(t, dtype="int64")})
 
         for batch in batches:
             for text, y in zip(batch["text"], batch["y"], strict=True):
-                (toxic if y else clean).update(read(text))
-                if len(clean) + len(toxic) > 200_000:
+                words, counts = read.words(text), toxic if y else clean
+                counts[0].update(words)
+                for kind in (1, 2, 3):
+                    k = kind + 3
+                    counts[kind].update({w[:k] for w in words if len(w) >= k})
+                if sum(map(len, clean + toxic)) > 200_000:
                     yield counted()
         yield counted()
 
